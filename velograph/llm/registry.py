@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from velograph.llm import q_bpe
+from velograph.llm import q_bpe, q_quality
 
-MODULES = (q_bpe,)
+MODULES = (q_bpe, q_quality)
 
 
 def queries() -> dict:
