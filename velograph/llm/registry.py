@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from velograph.llm import q_bpe, q_mixing, q_neighbours, q_quality, q_warc
+from velograph.llm import q_bpe, q_mixing, q_neighbours, q_pii, q_quality, q_warc
 
-MODULES = (q_mixing, q_quality, q_warc, q_bpe, q_neighbours)
+MODULES = (q_mixing, q_pii, q_quality, q_warc, q_bpe, q_neighbours)
 
 
 def queries() -> dict:
