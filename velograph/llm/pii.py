@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velograph.llm.shared import settle, whole_text
+from velograph.llm.shared import bit_table, settle, whole_text
 
 KINDS = ("email", "ip", "card", "phone", "term")
 CONTEXT, SUPPORT, GENERALISE, REMOVE = 60, 3, 0.8, 0.95
@@ -128,19 +128,9 @@ def word_bit(word: str) -> int:
     return zlib.crc32(word.encode("utf-8")) & ((1 << TABLE_BITS) - 1)
 
 
-def bit_table(terms: DataFrame) -> np.ndarray:
-    """A bit for each term's hash, as 64-bit words; at most 2^22 bits come to the driver however many terms there are."""
-    bit = F.crc32(F.encode("term", "UTF-8")).bitwiseAND(F.lit((1 << TABLE_BITS) - 1))
-    word = terms.select(F.shiftright(bit, 6).alias("w"), F.shiftleft(F.lit(1).cast("long"), F.pmod(bit, F.lit(64)).cast("int")).alias("b"))
-    table = np.zeros(1 << (TABLE_BITS - 6), np.int64)
-    for w, b in word.groupBy("w").agg(F.bit_or("b")).toLocalIterator():
-        table[w] = b
-    return table.view(np.uint64)
-
-
-def occurrences(docs: DataFrame, table: np.ndarray, text: str = "text") -> DataFrame:
+def occurrences(docs: DataFrame, table: bytes, text: str = "text") -> DataFrame:
     """(doc_id, key, term, spots): where words that the table lets through stand."""
-    bits = docs.sparkSession.sparkContext.broadcast(np.unpackbits(table.view(np.uint8), bitorder="little").tobytes())
+    bits = docs.sparkSession.sparkContext.broadcast(np.unpackbits(np.frombuffer(table, np.uint8), bitorder="little").tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         passes: dict[str, int] = {}
@@ -181,7 +171,7 @@ def disclosures(scanned: DataFrame, docs: DataFrame, text: str = "text", support
         return None
     n = scanned.count()
     entities = seen.select(F.explode(F.array_distinct("mentions.entity")).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    spots = settle(occurrences(docs, bit_table(pairs), text), "pii-spots")
+    spots = settle(occurrences(docs, bit_table(pairs, F.crc32(F.encode("term", "UTF-8")), TABLE_BITS), text), "pii-spots")
     terms = spots.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     share = F.log(F.lit(float(n)) * F.col("n_te") / (F.col("n_t") * F.col("n_e"))) / F.log(F.lit(float(n)) / F.col("n_e"))
     found = pairs.join(entities, "entity").join(terms, "term").filter(F.col("n_e") < n).withColumn("disclosure", share)

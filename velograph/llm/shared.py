@@ -45,3 +45,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def sql_literal(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
+
+
+def bit_table(rows: DataFrame, place: Column, bits: int) -> bytes:
+    """A table of 2^bits bits, set at the places of rows; its size doesn't follow the input. Little-endian 64-bit words."""
+    import numpy as np
+
+    at = F.pmod(place, F.lit(1 << bits)).cast("long")
+    words = rows.select(F.shiftright(at, 6).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(64)).cast("int")).alias("b"))
+    table = np.zeros(1 << (bits - 6), np.int64)
+    for w, b in words.groupBy("w").agg(F.bit_or("b")).toLocalIterator():
+        table[w] = b
+    return table.tobytes()
