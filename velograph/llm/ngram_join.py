@@ -147,19 +147,19 @@ def _chunks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[str]
 
 
 def name_sets(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, sid) of every document; sid is null without shingles. Written out."""
+    """(doc_id, key, n_shingles, sid) of every document: key is a hash of the text, sid is null without shingles. Written out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, sid = [], []
-            for _, texts in _chunks(batch, 1):
+            for _, texts in _chunks(batch, 2):
                 for s in shingle_sets(texts):
                     n.append(len(s))
                     sid.append(set_id(s) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(sid, pa.int64())], names=["doc_id", "n_shingles", "sid"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(n, pa.int64()), pa.array(sid, pa.int64())], names=["doc_id", "key", "n_shingles", "sid"])
 
-    own = docs.select(F.col("doc_id").cast("long"), whole_text(text).alias("text"))
-    return settle(own.mapInArrow(run, "doc_id long, n_shingles long, sid long"), "ngram-sets")
+    own = docs.select(F.col("doc_id").cast("long"), F.xxhash64(whole_text(text)).alias("key"), whole_text(text).alias("text"))
+    return settle(own.mapInArrow(run, "doc_id long, key long, n_shingles long, sid long"), "ngram-sets")
 
 
 def sketch(docs: DataFrame, text: str = "text") -> np.ndarray:
@@ -350,9 +350,22 @@ def link(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame, Dat
 
 
 def classes(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, sid, component_id: the least doc_id reachable by links, itself included."""
+    """doc_id, key, n_shingles, sid, root (null without shingles), component_id: the least doc_id reachable by links, itself included."""
     named, _, roots = link(docs, text)
     rooted = _labelled(named, roots)
     least = rooted.filter("sid IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least")).withColumnRenamed("root", "__root")
     out = rooted.join(least, F.col("root") == F.col("__root"), "left")
-    return out.select("doc_id", "n_shingles", "sid", F.coalesce("least", "doc_id").alias("component_id"))
+    return out.select("doc_id", "key", "n_shingles", "sid", "root", F.coalesce("least", "doc_id").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, text: str = "text") -> DataFrame:
+    """docs with one document of each component: that of the least (doc_id, key), nulls first. Documents without shingles
+    stay; rows equal in doc_id and text become one."""
+    found = settle(classes(docs, text), "ngram-classes")
+    first = found.filter("root IS NOT NULL").groupBy("root").agg(F.min(F.struct("doc_id", "key")).alias("k")).select("k.doc_id", "k.key")
+    stay = first.union(found.filter("root IS NULL").select("doc_id", "key")).distinct().select(F.col("doc_id").alias("__doc"), F.col("key").alias("__key"))
+    keyed = docs.withColumn("__own", F.xxhash64(whole_text(text)))
+    kept = keyed.join(settle(stay, "ngram-stay"), F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.col("__own") == F.col("__key")), "left_semi")
+    if not found.groupBy("doc_id", "key").count().filter("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id", "__own"])
+    return kept.select(*docs.columns)

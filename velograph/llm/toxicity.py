@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from velograph.llm.shared import settle, whole_text
 
@@ -271,17 +272,24 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ..
     if "score" in keep:
         raise ValueError("a column is in the way: score")
     held = docs.sparkSession.sparkContext.broadcast(model)
-    from pyspark.sql import types as T
+    at = keep.index(text) if text in keep else len(keep)
+    own = [] if text in keep else [whole_text(text).alias("__text")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
         reader, weights = Reader(Decoder(m.counts), m.features), m.weights.tolist()
         for batch in batches:
             out = []
-            for value in batch.column(len(keep)):
-                total = m.bias + sum([weights[i] for i in sorted(reader.read(value.as_py()))]) if weights else m.bias
+            for value in batch.column(at):
+                total = m.bias + sum([weights[i] for i in sorted(reader.read(value.as_py() or ""))]) if weights else m.bias
                 out.append(1 / (1 + math.exp(-max(total, -500.0))) if total > -math.inf else 0.0)
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(out, pa.float64())], names=[*keep, "score"])
 
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("score", T.DoubleType())])
-    return docs.select(*keep, whole_text(text).alias("__text")).mapInArrow(run, schema)
+    return docs.select(*keep, *own).mapInArrow(run, schema)
+
+
+def reject(docs: DataFrame, labels: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """docs without those that score threshold or more."""
+    scored = score(docs, fit(docs, labels, text), text, tuple(docs.columns))
+    return scored.filter(F.col("score") < threshold).select(*docs.columns)
