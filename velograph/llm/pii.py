@@ -165,16 +165,19 @@ def occurrences(docs: DataFrame, table: bytes, text: str = "text") -> DataFrame:
 def disclosures(scanned: DataFrame, docs: DataFrame, text: str = "text", support: int = SUPPORT, generalise: float = GENERALISE) -> tuple[DataFrame, DataFrame] | None:
     """(term, disclosure) of the terms over the threshold, and where candidate terms stand; None without candidates."""
     seen = scanned.filter(F.size("mentions") > 0)
-    pairs = seen.select(F.explode("mentions").alias("m")).groupBy("m.entity", "m.term").agg(F.count(F.lit(1)).alias("n_te"))
-    pairs = settle(pairs.filter(F.col("n_te") >= support), "pii-pairs")
+    n = scanned.count()
+    tally = lambda rows, name, *keys: rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    share = lambda n_t: F.log(F.lit(float(n)) * F.col("n_te") / (F.col(n_t) * F.col("n_e"))) / F.log(F.lit(float(n)) / F.col("n_e"))
+    entities = tally(seen.select(F.explode(F.array_distinct("mentions.entity")).alias("entity")), "n_e", "entity")
+    # a term is in all the documents where it stands near any entity, so this count bounds its disclosure from above
+    near = tally(seen.select(F.explode(F.array_distinct("mentions.term")).alias("term")), "n_near", "term")
+    pairs = tally(seen.select(F.explode("mentions").alias("m")), "n_te", "m.entity", "m.term").filter(F.col("n_te") >= support)
+    pairs = pairs.join(entities, "entity").filter(F.col("n_e") < n).join(near, "term").filter(share("n_near") >= generalise)
+    pairs = settle(pairs.select("entity", "term", "n_te", "n_e"), "pii-pairs")
     if pairs.isEmpty():
         return None
-    n = scanned.count()
-    entities = seen.select(F.explode(F.array_distinct("mentions.entity")).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     spots = settle(occurrences(docs, bit_table(pairs, F.crc32(F.encode("term", "UTF-8")), TABLE_BITS), text), "pii-spots")
-    terms = spots.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    share = F.log(F.lit(float(n)) * F.col("n_te") / (F.col("n_t") * F.col("n_e"))) / F.log(F.lit(float(n)) / F.col("n_e"))
-    found = pairs.join(entities, "entity").join(terms, "term").filter(F.col("n_e") < n).withColumn("disclosure", share)
+    found = pairs.join(tally(spots, "n_t", "term"), "term").withColumn("disclosure", share("n_t"))
     found = found.filter(F.col("disclosure") >= generalise).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
     return settle(found, "pii-terms"), spots
 
