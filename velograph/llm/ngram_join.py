@@ -3,7 +3,8 @@
 A set's prefix under a global order is its first |A| - ceil(0.75 |A|) + 1 tokens; two sets that are similar enough share a token
 of their prefixes under every order. Three orders are used: A by rarity (a count sketch of fixed size over all distinct
 sets, then a mixed hash), B by hash ascending and C by hash descending. Order A deals prefix tokens out to buckets, in which
-candidates meet; before verification a pair must also share prefix tokens under B and under C (a sorted set begins and ends
+candidates meet if their sizes and the token's places allow a similar pair (a pair's first common token always does); before
+verification a pair must also share prefix tokens under B and under C (a sorted set begins and ends
 with them).
 
 Equal sets are one node, so copies never meet as pairs. Buckets with the same members count once. Within a bucket not
@@ -34,7 +35,9 @@ WORDS, PERCENT, ROUNDS = 5, 75, 3
 SKETCH_BITS, TABLE_BITS = 17, 24
 #: Bytes of text hashed at once.
 CHUNK = 1 << 20
-#: A bucket of more sets is passed on without a look at whether another one has the same members.
+#: Within buckets of up to so many sets, those without a viable partner are dropped.
+SHORT_RUN = 48
+#: A bucket of more sets is passed on in parts.
 LONG_RUN = 1 << 20
 
 _U = np.uint64
@@ -187,84 +190,100 @@ def sketch(docs: DataFrame, text: str = "text") -> np.ndarray:
 
 
 def postings(docs: DataFrame, rarity: np.ndarray, text: str = "text") -> DataFrame:
-    """(token, sid, n): prefix tokens under order A; a set that a task has met before is skipped."""
+    """(token, sid, n, i): prefix tokens under order A, as their keys in that order, with their places; a set that a task has
+    met before is skipped."""
     held = docs.sparkSession.sparkContext.broadcast(rarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rare, seen = held.value.astype(_U), set()
         for batch in batches:
             for _, texts in _chunks(batch, 0):
-                tokens, sids, sizes, counts = [], [], [], []
+                tokens, sids, sizes, counts, at = [], [], [], [], []
                 for s in shingle_sets(texts):
                     if not len(s) or (sid := set_id(s)) in seen:
                         continue
                     seen.add(sid)
                     p = prefix_length(len(s))
                     order = (rare[(s >> _U(64 - SKETCH_BITS)).astype(np.int64)] << _U(56)) | (mixed(s) >> _U(8))
-                    tokens.append(s[np.argpartition(order, p - 1)[:p]])
+                    tokens.append(np.sort(np.partition(order, p - 1)[:p]))
+                    at.append(np.arange(p, dtype=np.int32))
                     sids.append(sid)
                     sizes.append(len(s))
                     counts.append(p)
                 if tokens:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.repeat(np.array(sids, np.int64), counts)), pa.array(np.repeat(np.array(sizes, np.int32), counts))], names=["token", "sid", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.repeat(np.array(sids, np.int64), counts)), pa.array(np.repeat(np.array(sizes, np.int32), counts)), pa.array(np.concatenate(at))], names=["token", "sid", "n", "i"])
 
-    return docs.select(whole_text(text)).mapInArrow(run, "token long, sid long, n int")
+    return docs.select(whole_text(text)).mapInArrow(run, "token long, sid long, n int, i int")
 
 
-def buckets(posted: DataFrame) -> DataFrame:
-    """Postings of tokens with two sets or more, one token for each list of members. Written out."""
+def viable(n, i, m, j, least=np.minimum):
+    """Whether sets of n and m tokens whose first common token stands at i and j may be similar: works on columns, too."""
+    return (100 * least(n, m) >= PERCENT * (n + m - least(n, m))) & ((100 + PERCENT) * least(n - i, m - j) >= PERCENT * (n + m))
+
+
+def partnered(token: np.ndarray, n: np.ndarray, i: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Of each posting, whether any other of its run is viable with it; runs longer than SHORT_RUN are let through."""
+    n, i = n.astype(np.int64), i.astype(np.int64)
+    own = np.repeat(length, length)
+    ok = own > SHORT_RUN
+    for k in range(1, min(SHORT_RUN, int(length.max(initial=1)))):
+        at = np.flatnonzero((token[k:] == token[:-k]) & (own[k:] <= SHORT_RUN))
+        at = at[viable(n[at], i[at], n[at + k], i[at + k])]
+        ok[at] = ok[at + k] = True
+    return ok
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
-        known: set[tuple] = set()
 
-        def emit(cols, last: bool):
-            token, sid, n = cols
+def buckets(posted: DataFrame) -> DataFrame:
+    """Postings of tokens that two viable sets or more share, the first token for each list of members. Written out.
+
+    Rows come sorted by token, so a task holds one run at most beside its batch.
+    """
+    names = ["token", "sid", "n", "i"]
+
+    def judged(cols: list[np.ndarray], known: set[int]) -> pa.RecordBatch | None:
+        fresh = np.ones(len(cols[0]), bool)
+        fresh[1:] = (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1])
+        cols = [c[fresh] for c in cols]  # a set that several tasks have posted
+        for turn in range(2):  # runs, then runs of what is left
+            token = cols[0]
             if not len(token):
-                return None, cols
+                return None
             starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
-            if not last:  # the last run may go on in the next batch
-                cut = starts[-1] if len(token) - starts[-1] <= LONG_RUN else len(token)
-                kept, cols = [c[cut:] for c in cols], [c[:cut] for c in cols]
-                token, sid, n = cols
-                starts = starts[starts < cut]
-            else:
-                kept = [c[:0] for c in cols]
-            if not len(token):
-                return None, kept
             length = np.diff(np.append(starts, len(token)))
-            spread = mixed(sid.view(_U))
-            sig = np.add.reduceat(spread, starts) ^ mixed(length.astype(_U))
-            same = np.minimum.reduceat(sid, starts) == np.maximum.reduceat(sid, starts)
-            many = ~same | (length > LONG_RUN)
-            good = np.zeros(len(starts), bool)
-            for i in np.flatnonzero(many):
-                key = int(sig[i])
-                if length[i] > LONG_RUN or key not in known:
-                    if len(known) > 2_000_000:
-                        known.clear()
-                    known.add(key)
-                    good[i] = True
-            take = np.repeat(good, length)
-            if not take.any():
-                return None, kept
-            out = [token[take], sid[take], n[take], np.repeat(sig, length)[take].view(np.int64)]
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["token", "sid", "n", "sig"]), kept
+            if turn == 0:
+                keep = partnered(token, cols[2], cols[3], length)
+                cols = [c[keep] for c in cols]
+        sig = np.add.reduceat(mixed(cols[1].view(_U)), starts) ^ mixed(length.astype(_U))
+        good = np.zeros(len(starts), bool)
+        for r, key in enumerate(sig.tolist()):
+            if key not in known:
+                if len(known) > 2_000_000:
+                    known.clear()
+                known.add(key)
+                good[r] = True
+        take = np.repeat(good, length)
+        return pa.RecordBatch.from_arrays([*(pa.array(c[take]) for c in cols), pa.array(np.repeat(sig, length)[take].view(np.int64))], names=[*names, "sig"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest, known = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)], set()
         for b in batches:
-            cols = [np.concatenate((r, np.asarray(b.column(i)))) for i, r in enumerate(rest)]
-            out, rest = emit(cols, False)
+            cols = [np.concatenate((r, np.asarray(b.column(k)))) for k, r in enumerate(rest)]
+            # the last run may go on in the next batch; a very long one is passed on in parts
+            cut = int(np.searchsorted(cols[0], cols[0][-1])) if len(cols[0]) else 0
+            cut = cut if len(cols[0]) - cut <= LONG_RUN else len(cols[0])
+            rest = [c[cut:] for c in cols]
+            out = judged([c[:cut] for c in cols], known)
             if out is not None:
                 yield out
-        out, _ = emit(rest, True)
+        out = judged(rest, known)
         if out is not None:
             yield out
 
     n = posted.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    local = posted.repartition(int(n), "token").sortWithinPartitions("token", "sid").mapInArrow(run, "token long, sid long, n int, sig long")
+    local = posted.repartition(int(n), "token").sortWithinPartitions("token", "sid").mapInArrow(run, "token long, sid long, n int, i int, sig long")
     local = settle(local, "ngram-local")
-    first = local.groupBy("sig").agg(F.min("token").alias("first"))
-    return settle(local.join(first.select("first"), F.col("token") == F.col("first"), "left_semi").select("token", "sid", "n").distinct(), "ngram-buckets")
+    first = local.groupBy("sig").agg(F.min("token").alias("first")).select("first").distinct()
+    return settle(local.join(first, F.col("token") == F.col("first"), "left_semi").select(*names).distinct(), "ngram-buckets")
 
 
 def fetch_sets(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataFrame:
@@ -325,25 +344,25 @@ def link(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame, Dat
     if bucket.isEmpty():
         return named, links, None
     sets = fetch_sets(docs, bucket.select("sid").distinct(), text)
-    fits = lambda x, y: 100 * F.least(x, y) >= PERCENT * F.greatest(x, y)
+    fits = lambda *x: viable(*(F.col(c).cast("long") for c in x), least=F.least)
     tried = spark.createDataFrame([], "a long, b long")
     for turn in range(ROUNDS):
-        bucket = settle(_open(_labelled(bucket.select("token", "sid", "n"), roots)), "ngram-open")
+        bucket = settle(_open(_labelled(bucket.select("token", "sid", "n", "i"), roots)), "ngram-open")
         if bucket.isEmpty():
             return named, links, roots
         place = F.col("sid") if turn == 0 else F.xxhash64("sid", F.lit(turn))
-        hubs = bucket.groupBy("token").agg(F.min(F.struct(place.alias("p"), "sid", "root", "n")).alias("hub"))
-        met = bucket.join(hubs, "token").filter((F.col("root") != F.col("hub.root")) & fits(F.col("n"), F.col("hub.n")))
+        hubs = bucket.groupBy("token").agg(F.min(F.struct(place.alias("p"), "sid", "root", "n", "i")).alias("hub"))
+        met = bucket.join(hubs, "token").filter((F.col("root") != F.col("hub.root")) & fits("n", "i", "hub.n", "hub.i"))
         best = met.groupBy("sid").agg(F.min("hub").alias("hub")).select(F.least("sid", "hub.sid").alias("a"), F.greatest("sid", "hub.sid").alias("b"))
         fresh = settle(best.distinct().join(tried, ["a", "b"], "left_anti"), "ngram-pairs")
         tried = tried.union(fresh)
         links = links.union(verify(fresh, sets))
         roots = components(links)
-    bucket = settle(_open(_labelled(bucket.select("token", "sid", "n"), roots)), "ngram-open")
+    bucket = settle(_open(_labelled(bucket.select("token", "sid", "n", "i"), roots)), "ngram-open")
     if bucket.isEmpty():
         return named, links, roots
-    other = bucket.select("token", F.col("sid").alias("sid2"), F.col("n").alias("n2"), F.col("root").alias("root2"))
-    rest = bucket.join(other, "token").filter((F.col("sid") < F.col("sid2")) & (F.col("root") != F.col("root2")) & fits(F.col("n"), F.col("n2")))
+    other = bucket.select("token", F.col("sid").alias("sid2"), F.col("n").alias("n2"), F.col("i").alias("i2"), F.col("root").alias("root2"))
+    rest = bucket.join(other, "token").filter((F.col("sid") < F.col("sid2")) & (F.col("root") != F.col("root2")) & fits("n", "i", "n2", "i2"))
     rest = settle(rest.select(F.col("sid").alias("a"), F.col("sid2").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"), "ngram-rest")
     links = links.union(verify(rest, sets))
     return named, links, components(links)
