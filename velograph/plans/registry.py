@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from velograph.plans import q_points, q_profiles
+
+MODULES = (q_profiles, q_points)
 
 
 def queries() -> dict:
-    return dict(QUERIES)
+    return {name: run for m in MODULES for name, run in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
