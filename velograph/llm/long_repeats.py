@@ -11,8 +11,8 @@ windows). Segments are compared by anchor only:
    LENGTH, or if its segment has copies;
 4. repeats go back to all members, and each text is cut once.
 
-An anchor with more than HOT distinct contents (a passage at the edge of which all differ) isn't held in one shard: its
-windows are named by 128-bit hashes and counted by a shuffle instead, which is exact as well. Texts are shuffled only
+An anchor with more than HOT distinct contents (a passage at the edge of which all differ) isn't held in one shard: it is
+salted over several, each with its index, and what they can't tell alone is compared across them. Texts are shuffled only
 as far as segments are fetched or removed; a bit table of fixed size filters them first.
 
 A null text is empty; texts shorter than a window keep all; repeated rows are copies of each other; a null doc_id is kept; an
@@ -32,13 +32,13 @@ from pyspark.sql import functions as F
 from velograph.llm.runindex import long_matches
 from velograph.llm.shared import bit_table, settle, whole_text
 
-LENGTH, GRAM = 400, 64
+LENGTH, GRAM = 400, 128
 #: Bytes of a text or of several texts hashed at once; places within them fit PLACE_BITS.
 PIECE, PLACE_BITS = 2 << 20, 22
 SHARD_BYTES, HOT, TABLE_BITS = 1_500_000, 2048, 24
 
 _U = np.uint64
-_ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB]
+_ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3]
 SEGMENTS = "doc_id long, key long, at int, n short, anchor long, d1 long, d2 long"
 ROW = ["doc_id", "key"]
 CONTENT = ["anchor", "d1", "d2"]
@@ -195,23 +195,71 @@ def indexed_repeats(fetched: DataFrame) -> DataFrame:
     return dealt.groupBy("shard").applyInArrow(run, "anchor long, d1 long, d2 long, hits binary")
 
 
-def counted_repeats(fetched: DataFrame) -> DataFrame:
-    """The same for anchors with very many contents: windows are counted by their hashes."""
+def salted_repeats(fetched: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The same for anchors with very many contents (sizes: anchor, count): they are salted over shards, and windows that a shard
+    can't tell are compared across shards by 128-bit hashes.
 
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Each shard sends the hashes of windows without a match in it, and one of each kind of those with one; rows that
+    travel are lists, dealt out by ranges of the hash. A kind that all contents hold is sent once by each shard.
+    """
+    salted = fetched.join(sizes, "anchor").withColumn("shard", F.pmod(F.xxhash64("d1", "d2"), F.ceil(F.col("count") / HOT)))
+
+    def local(table: pa.Table) -> pa.Table:
+        strings, copies = table["bytes"].to_pylist(), table["copies"].to_pylist()
+        own, sent, hits = set(), [], []
+        for s, hit, m in zip(strings, long_matches(strings, LENGTH), copies, strict=True):
+            n = len(s) - LENGTH + 1
+            hit = np.ones(n, bool) if m > 1 else hit[:n]
+            keep = []
+            for k in range(n):
+                name = hashlib.blake2b(s[k : k + LENGTH], digest_size=16).digest()
+                if not hit[k]:
+                    keep.append(k.to_bytes(2, "little") + name)
+                elif name not in own:
+                    own.add(name)
+                    keep.append(b"\xff\xff" + name)
+            hits.append(hit.astype(np.uint8).tobytes())
+            sent.append(b"".join(keep))
+        return pa.table([*(table[c] for c in CONTENT), pa.array(hits, pa.binary()), pa.array(sent, pa.binary())], names=[*CONTENT, "hits", "sent"])
+
+    told = settle(salted.groupBy("anchor", "shard").applyInArrow(lambda _, t: local(t), "anchor long, d1 long, d2 long, hits binary, sent binary"), "salted")
+    buckets = int((told.agg(F.sum(F.length("sent"))).first()[0] or 0) // SHARD_BYTES) + 1
+    record = np.dtype([("place", "<u2"), ("w1", "<u8"), ("w2", "<u8")])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            rows = []
             for i in range(b.num_rows):
-                raw = b.column(4)[i].as_py()
-                n = len(raw) - LENGTH + 1
-                w = np.frombuffer(b"".join([hashlib.blake2b(raw[k : k + LENGTH], digest_size=16).digest() for k in range(n)]), np.int64).reshape(-1, 2)
-                same = [pa.array([b.column(c)[i].as_py()] * n, pa.int64()) for c in range(4)]
-                yield pa.RecordBatch.from_arrays([*same, pa.array(np.arange(n, dtype=np.int16)), pa.array(w[:, 0]), pa.array(w[:, 1])], names=[*CONTENT, "copies", "place", "w1", "w2"])
+                x = np.frombuffer(b.column(3)[i].as_py(), record)
+                bucket = (x["w1"] % np.uint64(buckets)).astype(np.int64)
+                rows += [(*(b.column(c)[i].as_py() for c in range(3)), int(k), x[bucket == k].tobytes()) for k in np.unique(bucket)]
+            cols = list(zip(*rows, strict=True)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.binary())], names=[*CONTENT, "bucket", "part"])
+
+    def meet(table: pa.Table) -> pa.Table:
+        parts = [np.frombuffer(x, record) for x in table["part"].to_pylist()]
+        x = np.concatenate(parts)
+        _, kind, m = np.unique(np.stack([x["w1"], x["w2"]], 1), axis=0, return_inverse=True, return_counts=True)
+        again = (m[kind.ravel()] > 1) & (x["place"] != 0xFFFF)
+        edges = np.cumsum([0] + [len(p) for p in parts])
+        found = [x["place"][a:z][again[a:z]].astype("<u2").tobytes() for a, z in zip(edges, edges[1:])]
+        return pa.table([*(table[c] for c in CONTENT), pa.array(found, pa.binary())], names=[*CONTENT, "found"])
+
+    dealt = told.select(*CONTENT, "sent").mapInArrow(deal, "anchor long, d1 long, d2 long, bucket long, part binary")
+    across = dealt.groupBy("bucket").applyInArrow(meet, "anchor long, d1 long, d2 long, found binary").filter(F.length("found") > 0)
+    across = across.groupBy(*CONTENT).agg(F.collect_list("found").alias("found"))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for hits, found in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
+                x = np.frombuffer(hits, np.uint8).copy()
+                for f in found or ():
+                    x[np.frombuffer(f, "<u2")] = 1
+                out.append(x.tobytes())
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(out, pa.binary())], names=[*CONTENT, "hits"])
 
-    windows = settle(fetched.mapInArrow(name, "anchor long, d1 long, d2 long, copies long, place short, w1 long, w2 long"), "windows")
-    many = windows.groupBy("w1", "w2").agg(F.sum("copies").alias("m")).filter("m > 1").select("w1", "w2")
-    flagged = windows.join(many.withColumn("hit", F.lit(1)), ["w1", "w2"], "left")
-    byte = F.transform(F.sort_array(F.collect_list(F.struct("place", F.coalesce("hit", F.lit(0)).alias("h")))), lambda x: F.chr(x["h"]))
-    return flagged.groupBy(*CONTENT).agg(F.array_join(byte, "").cast("binary").alias("hits"))
+    return told.select(*CONTENT, "hits").join(across, CONTENT, "left").mapInArrow(add, "anchor long, d1 long, d2 long, hits binary")
 
 
 def removals(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -228,11 +276,11 @@ def removals(docs: DataFrame, text: str = "text") -> DataFrame:
         contents = mixed.groupBy(*CONTENT).agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "key", "at", "n")).alias("x"))
         contents = settle(contents.select(*CONTENT, "copies", "x.*"), "contents")
         fetched = fetch(docs, contents, text)
-        hot = settle(contents.groupBy("anchor").count().filter(F.col("count") > HOT).select("anchor"), "hot-anchors")
+        hot = settle(contents.groupBy("anchor").count().filter(F.col("count") > HOT), "hot-anchors")
         if hot.isEmpty():
             judged = indexed_repeats(fetched)
         else:
-            judged = indexed_repeats(fetched.join(hot, "anchor", "left_anti")).unionByName(counted_repeats(fetched.join(hot, "anchor", "left_semi")))
+            judged = indexed_repeats(fetched.join(hot, "anchor", "left_anti")).unionByName(salted_repeats(fetched, hot))
         judged = settle(judged, "judged")
 
         def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +298,7 @@ def removals(docs: DataFrame, text: str = "text") -> DataFrame:
         judged = judged.mapInArrow(runs, "anchor long, d1 long, d2 long, runs array<struct<s:int,e:int>>")
         part = F.transform("runs", lambda r: span(F.col("at") + r["s"], F.col("at") + r["e"] + (LENGTH - 1)))
         found = whole.union(mixed.join(judged, CONTENT).select(*ROW, part.alias("found")))
-    return settle(found.groupBy(*ROW).agg(F.array_distinct(F.flatten(F.collect_list("found"))).alias("spans")), "removals")
+    return settle(found.groupBy(*ROW).agg(F.flatten(F.collect_list("found")).alias("spans")), "removals")
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -21,26 +21,46 @@ class RunIndex:
         t = self.text = np.frombuffer(raw, np.uint8)
         n = self.n = len(t)
         ends = np.flatnonzero(t == END)
-        self.left = (ends[np.searchsorted(ends, np.arange(n))] - np.arange(n)).astype(np.int32)
+        self.left = (np.repeat(ends, np.diff(np.concatenate(([-1], ends)))) - np.arange(n)).astype(np.int32)
         padded = np.concatenate((t, np.full(8, END, np.uint8)))
         key = np.zeros(n, np.uint64)
         for j in range(8):
-            key = (key << np.uint64(8)) | np.where(self.left > j, padded[j : j + n], END).astype(np.uint64)
-        rank = np.unique(key, return_inverse=True)[1].astype(np.int64)
+            key = (key << np.uint64(8)) | padded[j : j + n]
+        short = np.flatnonzero(self.left < 8)
+        key[short] |= np.uint64(0xFFFFFFFFFFFFFFFF) >> (self.left[short].astype(np.uint64) * np.uint64(8))
+        order = np.argsort(key)
+        rank, tied = self.ranked(key[order], order, np.zeros(n, np.int64))
         self.levels: list[tuple[int, np.ndarray]] = [(8, rank.astype(np.int32))]
         h, longest = 8, int(self.left.max(initial=0))
         while h < longest:
-            second = np.zeros(n, np.int64)
-            second[: n - h] = np.where(self.left[: n - h] >= h, rank[h:] + 1, 0)
-            rank = np.unique(rank * (n + 2) + second, return_inverse=True)[1].astype(np.int64)
+            # only suffixes that are still tied are sorted on, by the rank of what follows their first h bytes
+            going = self.left[tied] >= h
+            second = np.zeros(len(tied), np.int64)
+            second[going] = rank[tied[going] + h] + 1
+            key = rank[tied] * (n + 2) + second
+            order = np.argsort(key)
+            rank, tied = self.ranked(key[order], tied[order], rank)
             h *= 2
             self.levels.append((h, rank.astype(np.int32)))
         order = self.order = np.argsort(rank, kind="stable")
-        before = t[order - 1]
-        before = np.where(np.isin(order, self.starts, assume_unique=True), END, before)
+        before = t[order - 1]  # END at the first of a string: its predecessor is a separator, or for the very first the last one
         change = np.concatenate(([True], (before[1:] != before[:-1]) | (before[1:] == END), [True]))
         self.heads, self.tails = np.flatnonzero(change[:-1]), np.flatnonzero(change[1:])
 
+    def ranked(self, keys: np.ndarray, places: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ranks after a sort of some places, and the places that are still tied. A rank is the number of suffixes before its
+        tie; places come in order of their ranks before and then of their keys."""
+        n, rank = len(places), before.copy()
+        if not n:
+            return rank, places
+        fresh = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        old = before[places]
+        group = np.flatnonzero(np.concatenate(([True], old[1:] != old[:-1])))
+        own = np.repeat(fresh, np.diff(np.append(fresh, n)))
+        rank[places] = old + own - np.repeat(group, np.diff(np.append(group, n)))
+        alone = np.diff(np.append(fresh, n)) == 1
+        return rank, places[~np.repeat(alone, np.diff(np.append(fresh, n)))]
+
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Lengths of the common prefixes of the suffixes at a and b; strings end at their separators."""
         a, b, out = a.copy(), b.copy(), np.zeros(len(a), np.int64)
