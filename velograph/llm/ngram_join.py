@@ -7,13 +7,14 @@ candidates meet if their sizes and the token's places allow a similar pair (a pa
 verification a pair must also share prefix tokens under B and under C (a sorted set begins and ends
 with them).
 
-Equal sets are one node, so copies never meet as pairs. Buckets with the same members count once. Within a bucket not
-all pairs are made: in each of ROUNDS rounds, every set is verified against one set of another component that it shares a
-bucket with, and the verified links are joined to components. Only pairs that are still in different components after
-that are made in full, so no link that could join two components is lost, and a group of near copies costs a few pairs for
-each member.
-
-Texts are scanned three times and never shuffled. Sets are named by 64-bit digests. A null text, or one without words, has no
+Equal sets are one node, so copies never meet as pairs. Buckets with the same members count once. Sets joined by shared
+buckets are a family. A small family travels to one task once, where only pairs of sets that aren't yet in one component
+are verified; no pair is emitted. A large family, such as a third of all documents, stays spread out: in each of ROUNDS
+rounds, every set is verified against one set of another component that it shares a bucket with, and the links are joined
+to components. Only pairs that are still in different components after that are made in full, so no link that could join
+two components is lost, and a group of near copies costs a few pairs for each member.
+
+Texts are scanned and never shuffled. Sets are named by 64-bit digests; verification compares tokens by 48 bits. A null text, or one without words, has no
 shingles and no link; with fewer words than a shingle the whole sequence is one token; repeated rows are copies; a null
 doc_id is never a component's name; an empty table gives an empty result; extra columns are ignored.
 """
@@ -37,6 +38,8 @@ SKETCH_BITS, TABLE_BITS = 17, 24
 CHUNK = 1 << 20
 #: Within buckets of up to so many sets, those without a viable partner are dropped.
 SHORT_RUN = 48
+#: Families of up to so many tokens and sets are small.
+FAMILY_TOKENS, FAMILY_SETS = 1_000_000, 1024
 #: A bucket of more sets is passed on in parts.
 LONG_RUN = 1 << 20
 
@@ -118,6 +121,17 @@ def prefix_length(n):
     return n - (PERCENT * n + 99) // 100 + 1
 
 
+def pack(tokens: np.ndarray) -> bytes:
+    """The upper 48 bits of each token, in order: what verification compares."""
+    return (tokens >> _U(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpack(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
     """Prefix filters under orders B and C, then the exact test."""
     n, m = len(a), len(b)
@@ -287,7 +301,7 @@ def buckets(posted: DataFrame) -> DataFrame:
 
 
 def fetch_sets(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataFrame:
-    """(sid, tokens binary) of the sets that wanted (sid) names. Written out."""
+    """(sid, tokens binary, and wanted's other columns) of the sets that wanted (sid, one row each) names; not yet written out."""
     held = docs.sparkSession.sparkContext.broadcast(bit_table(wanted, F.col("sid"), TABLE_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,12 +316,13 @@ def fetch_sets(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataFr
                     if (int(bits[at >> 6]) >> (at & 63)) & 1:
                         seen.add(sid)
                         sids.append(sid)
-                        sets.append(s.tobytes())
+                        sets.append(pack(s))
                 if sids:
                     yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(sets, pa.binary())], names=["sid", "tokens"])
 
     found = docs.select(whole_text(text)).mapInArrow(run, "sid long, tokens binary")
-    return settle(found.join(wanted, "sid", "left_semi").dropDuplicates(["sid"]), "ngram-tokens")
+    # copies met by several tasks are alike; which of them stays makes no difference
+    return found.join(wanted, "sid").dropDuplicates(["sid"])
 
 
 def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -315,7 +330,7 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ok = [similar(np.frombuffer(x.as_py(), _U), np.frombuffer(y.as_py(), _U)) for x, y in zip(b.column(2), b.column(3), strict=True)]
+            ok = [similar(unpack(x.as_py()), unpack(y.as_py())) for x, y in zip(b.column(2), b.column(3), strict=True)]
             yield b.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
     left = sets.select(F.col("sid").alias("a"), F.col("tokens").alias("ta"))
@@ -335,36 +350,84 @@ def _open(rows: DataFrame) -> DataFrame:
     return rows.join(mixed_up, "token", "left_semi")
 
 
-def link(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    """name_sets(docs), the verified links (a, b) of sets, and (node, root) of sets in a component of several sets."""
-    named = name_sets(docs, text)
-    spark = docs.sparkSession
-    bucket = buckets(postings(docs, sketch(docs, text), text))
-    links, roots = spark.createDataFrame([], "a long, b long"), None
-    if bucket.isEmpty():
-        return named, links, None
-    sets = fetch_sets(docs, bucket.select("sid").distinct(), text)
+def families(bucket: DataFrame) -> DataFrame:
+    """(sid, family, group): sets joined by shared buckets, and the task group of a small family, null for a large one. Written out."""
+    hub = bucket.groupBy("token").agg(F.min("sid").alias("b"))
+    edges = bucket.join(hub, "token").select(F.col("sid").alias("a"), "b")
+    sets = bucket.groupBy("sid").agg(F.max("n").cast("long").alias("n"))
+    named = _labelled(sets, components(edges)).withColumnRenamed("root", "family")
+    size = named.groupBy(F.col("family").alias("f")).agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("members"))
+    small = (F.col("tokens") <= FAMILY_TOKENS) & (F.col("members") <= FAMILY_SETS)
+    total = named.agg(F.sum("n")).first()[0] or 0
+    group = F.when(small, F.pmod(F.xxhash64("family"), F.lit(int(total // FAMILY_TOKENS) + 1)))
+    return settle(named.join(size, F.col("family") == F.col("f")).select("sid", "family", group.alias("group")), "ngram-families")
+
+
+def link_families(sets: DataFrame) -> DataFrame:
+    """Links (a, b) that join the components of small families; sets: sid, tokens, family, group. Written out."""
+
+    def run(table: pa.Table) -> pa.Table:
+        order = table.sort_by([("family", "ascending"), ("sid", "ascending")])
+        family, sid = np.asarray(order["family"]), np.asarray(order["sid"])
+        tokens = [unpack(x) for x in order["tokens"].to_pylist()]
+        starts = np.flatnonzero(np.concatenate(([True], family[1:] != family[:-1])))
+        root, out = list(range(len(sid))), []
+
+        def top(x: int) -> int:
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(sid)], strict=True):
+            for x in range(s, e):
+                for y in range(s, x):
+                    a, b = top(x), top(y)
+                    if a != b and similar(tokens[x], tokens[y]):
+                        root[max(a, b)] = min(a, b)
+                        out.append((int(sid[y]), int(sid[x])))
+        cols = list(zip(*out, strict=True)) or [(), ()]
+        return pa.table([pa.array(c, pa.int64()) for c in cols], names=["a", "b"])
+
+    return settle(sets.groupBy("group").applyInArrow(run, "a long, b long"), "ngram-links")
+
+
+def link_hubs(bucket: DataFrame, sets: DataFrame) -> DataFrame:
+    """The same for large families: rounds of one pair for each set, then all pairs between what are still several components."""
+    spark = bucket.sparkSession
+    links, tried, roots = spark.createDataFrame([], "a long, b long"), spark.createDataFrame([], "a long, b long"), None
     fits = lambda *x: viable(*(F.col(c).cast("long") for c in x), least=F.least)
-    tried = spark.createDataFrame([], "a long, b long")
-    for turn in range(ROUNDS):
+    for turn in range(ROUNDS + 1):
         bucket = settle(_open(_labelled(bucket.select("token", "sid", "n", "i"), roots)), "ngram-open")
         if bucket.isEmpty():
-            return named, links, roots
-        place = F.col("sid") if turn == 0 else F.xxhash64("sid", F.lit(turn))
-        hubs = bucket.groupBy("token").agg(F.min(F.struct(place.alias("p"), "sid", "root", "n", "i")).alias("hub"))
-        met = bucket.join(hubs, "token").filter((F.col("root") != F.col("hub.root")) & fits("n", "i", "hub.n", "hub.i"))
-        best = met.groupBy("sid").agg(F.min("hub").alias("hub")).select(F.least("sid", "hub.sid").alias("a"), F.greatest("sid", "hub.sid").alias("b"))
-        fresh = settle(best.distinct().join(tried, ["a", "b"], "left_anti"), "ngram-pairs")
+            break
+        if turn < ROUNDS:
+            place = F.col("sid") if turn == 0 else F.xxhash64("sid", F.lit(turn))
+            hubs = bucket.groupBy("token").agg(F.min(F.struct(place.alias("p"), "sid", "root", "n", "i")).alias("hub"))
+            met = bucket.join(hubs, "token").filter((F.col("root") != F.col("hub.root")) & fits("n", "i", "hub.n", "hub.i"))
+            pairs = met.groupBy("sid").agg(F.min("hub").alias("hub")).select(F.least("sid", "hub.sid").alias("a"), F.greatest("sid", "hub.sid").alias("b"))
+        else:
+            other = bucket.select("token", F.col("sid").alias("sid2"), F.col("n").alias("n2"), F.col("i").alias("i2"), F.col("root").alias("root2"))
+            met = bucket.join(other, "token").filter((F.col("sid") < F.col("sid2")) & (F.col("root") != F.col("root2")) & fits("n", "i", "n2", "i2"))
+            pairs = met.select(F.col("sid").alias("a"), F.col("sid2").alias("b"))
+        fresh = settle(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "ngram-pairs")
         tried = tried.union(fresh)
         links = links.union(verify(fresh, sets))
         roots = components(links)
-    bucket = settle(_open(_labelled(bucket.select("token", "sid", "n", "i"), roots)), "ngram-open")
+    return links
+
+
+def link(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """name_sets(docs), verified links (a, b) that join the components of sets, and (node, root) of sets in a component of several."""
+    named = name_sets(docs, text)
+    bucket = buckets(postings(docs, sketch(docs, text), text))
     if bucket.isEmpty():
-        return named, links, roots
-    other = bucket.select("token", F.col("sid").alias("sid2"), F.col("n").alias("n2"), F.col("i").alias("i2"), F.col("root").alias("root2"))
-    rest = bucket.join(other, "token").filter((F.col("sid") < F.col("sid2")) & (F.col("root") != F.col("root2")) & fits("n", "i", "n2", "i2"))
-    rest = settle(rest.select(F.col("sid").alias("a"), F.col("sid2").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"), "ngram-rest")
-    links = links.union(verify(rest, sets))
+        return named, docs.sparkSession.createDataFrame([], "a long, b long"), None
+    family = families(bucket)
+    links = link_families(fetch_sets(docs, family.filter("group IS NOT NULL"), text))
+    large = family.filter("group IS NULL").select("sid")
+    if not large.isEmpty():
+        sets = settle(fetch_sets(docs, large, text), "ngram-tokens")
+        links = links.union(link_hubs(bucket.join(large, "sid", "left_semi"), sets))
     return named, links, components(links)
 
 
