@@ -267,7 +267,9 @@ def removals(docs: DataFrame, text: str = "text") -> DataFrame:
     named = name_segments(docs, text)
     anchors = named.groupBy("anchor").agg(F.count(F.lit(1)).alias("m"), F.min("d1").alias("a"), F.max("d1").alias("b"), F.min("d2").alias("c"), F.max("d2").alias("d")).filter("m > 1")
     several = (F.col("a") != F.col("b")) | (F.col("c") != F.col("d"))
-    met = settle(named.join(anchors.select("anchor", several.alias("several")), "anchor"), "segments-met")
+    # written out, so that both sides of the join are plain exchanges, which AQE can split at a hot anchor
+    anchors = settle(anchors.select("anchor", several.alias("several")), "anchors")
+    met = settle(named.join(anchors, "anchor"), "segments-met")
     span = lambda start, end: F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"))
     whole = met.filter("not several").select(*ROW, F.array(span(F.col("at"), F.col("at") + F.col("n") + (LENGTH - 1))).alias("found"))
     found = whole
