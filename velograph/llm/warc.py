@@ -67,7 +67,7 @@ def write_warc(pages: DataFrame, folder: str | None = None, min_payload: int = 0
     folder = folder or fresh_path(spark, "warc")
     rows = pages.select("page_id", "url", whole_text("html").alias("html")).withColumn("digest", F.sha1(F.encode("html", "UTF-8")))
     group = rows.filter(F.octet_length("html") >= min_payload).groupBy(F.col("digest").alias("__digest")).agg(F.max("page_id").alias("keeper"), F.count(F.lit(1)).alias("n"))
-    group = group.filter("n > 1").drop("n")
+    group = settle(group.filter("n > 1").drop("n"), "warc-payloads")  # a plain side of the join: AQE can split a hot payload
     rows = rows.join(group, F.col("digest") == F.col("__digest"), "left").select("page_id", "url", "html", "digest", F.when(~F.col("keeper").eqNullSafe(F.col("page_id")), F.col("keeper")).alias("keeper"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
