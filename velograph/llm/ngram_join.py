@@ -347,12 +347,12 @@ def _labelled(rows: DataFrame, roots: DataFrame | None) -> DataFrame:
 def _open(rows: DataFrame) -> DataFrame:
     """Buckets that still hold two components or more."""
     mixed_up = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("token")
-    return rows.join(mixed_up, "token", "left_semi")
+    return rows.join(settle(mixed_up, "ngram-mixed"), "token", "left_semi")
 
 
 def families(bucket: DataFrame) -> DataFrame:
     """(sid, family, group): sets joined by shared buckets, and the task group of a small family, null for a large one. Written out."""
-    hub = bucket.groupBy("token").agg(F.min("sid").alias("b"))
+    hub = settle(bucket.groupBy("token").agg(F.min("sid").alias("b")), "ngram-hubs")  # a plain side of the join: AQE can split a hot token
     edges = bucket.join(hub, "token").select(F.col("sid").alias("a"), "b")
     sets = bucket.groupBy("sid").agg(F.max("n").cast("long").alias("n"))
     named = _labelled(sets, components(edges)).withColumnRenamed("root", "family")
@@ -403,7 +403,7 @@ def link_hubs(bucket: DataFrame, sets: DataFrame) -> DataFrame:
         if turn < ROUNDS:
             place = F.col("sid") if turn == 0 else F.xxhash64("sid", F.lit(turn))
             hubs = bucket.groupBy("token").agg(F.min(F.struct(place.alias("p"), "sid", "root", "n", "i")).alias("hub"))
-            met = bucket.join(hubs, "token").filter((F.col("root") != F.col("hub.root")) & fits("n", "i", "hub.n", "hub.i"))
+            met = bucket.join(settle(hubs, "ngram-hubs"), "token").filter((F.col("root") != F.col("hub.root")) & fits("n", "i", "hub.n", "hub.i"))
             pairs = met.groupBy("sid").agg(F.min("hub").alias("hub")).select(F.least("sid", "hub.sid").alias("a"), F.greatest("sid", "hub.sid").alias("b"))
         else:
             other = bucket.select("token", F.col("sid").alias("sid2"), F.col("n").alias("n2"), F.col("i").alias("i2"), F.col("root").alias("root2"))
@@ -435,7 +435,7 @@ def classes(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, key, n_shingles, sid, root (null without shingles), component_id: the least doc_id reachable by links, itself included."""
     named, _, roots = link(docs, text)
     rooted = _labelled(named, roots)
-    least = rooted.filter("sid IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least")).withColumnRenamed("root", "__root")
+    least = settle(rooted.filter("sid IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least")).withColumnRenamed("root", "__root"), "ngram-least")
     out = rooted.join(least, F.col("root") == F.col("__root"), "left")
     return out.select("doc_id", "key", "n_shingles", "sid", "root", F.coalesce("least", "doc_id").alias("component_id"))
 
