@@ -33,7 +33,7 @@ from velograph.llm.components import components
 from velograph.llm.shared import bit_table, settle, whole_text
 
 WORDS, PERCENT, ROUNDS = 5, 75, 3
-SKETCH_BITS, TABLE_BITS = 17, 24
+SKETCH_BITS, PART, TABLE_BITS = 22, 1 << 15, 24
 #: Bytes of text hashed at once.
 CHUNK = 1 << 20
 #: Within buckets of up to so many sets, those without a viable partner are dropped.
@@ -180,10 +180,11 @@ def name_sets(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def sketch(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """How many tokens of distinct sets (distinct within a task) fall into each of 2^17 cells, as a power of two."""
+    """How many tokens of distinct sets (distinct within a task) fall into each of 2^SKETCH_BITS cells, as steps of half a
+    power of two. Tasks send their counts in parts of PART cells; 4 MB reach the driver, whatever the input."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, seen = np.zeros(1 << SKETCH_BITS, np.int64), set()
+        total, seen = np.zeros(1 << SKETCH_BITS, np.int32), set()
         for batch in batches:
             for _, texts in _chunks(batch, 0):
                 fresh = []
@@ -193,14 +194,23 @@ def sketch(docs: DataFrame, text: str = "text") -> np.ndarray:
                         seen.add(sid)
                         fresh.append(s)
                 if fresh:
-                    total += np.bincount((np.concatenate(fresh) >> _U(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS)
-        cells = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(total[cells], pa.int64())], names=["cell", "n"])
+                    cells, n = np.unique(np.concatenate(fresh) >> _U(64 - SKETCH_BITS), return_counts=True)
+                    total[cells.astype(np.int64)] += n.astype(np.int32)
+        parts = np.minimum(total, 0xFFFF).astype("<u2").reshape(-1, PART)
+        full = np.flatnonzero(parts.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([parts[i].tobytes() for i in full], pa.binary())], names=["part", "counts"])
 
-    table = np.zeros(1 << SKETCH_BITS, np.int64)
-    for r in docs.select(whole_text(text)).mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toLocalIterator():
-        table[r["cell"]] = r["n"]
-    return np.floor(np.log2(np.maximum(table, 1)) * 2).astype(np.uint8)
+    def add(t: pa.Table) -> pa.Table:
+        total = np.zeros(PART, np.int64)
+        for x in t["counts"].to_pylist():
+            total += np.frombuffer(x, "<u2")
+        return pa.table([t["part"][:1], pa.array([np.floor(np.log2(np.maximum(total, 1)) * 2).astype(np.uint8).tobytes()], pa.binary())], names=["part", "steps"])
+
+    out = np.zeros((1 << SKETCH_BITS) // PART * PART, np.uint8).reshape(-1, PART)
+    counts = docs.select(whole_text(text)).mapInArrow(run, "part int, counts binary")
+    for r in counts.groupBy("part").applyInArrow(add, "part int, steps binary").toLocalIterator():
+        out[r["part"]] = np.frombuffer(r["steps"], np.uint8)
+    return out.ravel()
 
 
 def postings(docs: DataFrame, rarity: np.ndarray, text: str = "text") -> DataFrame:
@@ -209,7 +219,7 @@ def postings(docs: DataFrame, rarity: np.ndarray, text: str = "text") -> DataFra
     held = docs.sparkSession.sparkContext.broadcast(rarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rare, seen = held.value.astype(_U), set()
+        rare, seen = held.value, set()
         for batch in batches:
             for _, texts in _chunks(batch, 0):
                 tokens, sids, sizes, counts, at = [], [], [], [], []
@@ -218,7 +228,7 @@ def postings(docs: DataFrame, rarity: np.ndarray, text: str = "text") -> DataFra
                         continue
                     seen.add(sid)
                     p = prefix_length(len(s))
-                    order = (rare[(s >> _U(64 - SKETCH_BITS)).astype(np.int64)] << _U(56)) | (mixed(s) >> _U(8))
+                    order = (rare[(s >> _U(64 - SKETCH_BITS)).astype(np.int64)].astype(_U) << _U(56)) | (mixed(s) >> _U(8))
                     tokens.append(np.sort(np.partition(order, p - 1)[:p]))
                     at.append(np.arange(p, dtype=np.int32))
                     sids.append(sid)
