@@ -158,7 +158,7 @@ def brute_classes(texts):
     return [(len(s), top(i)) for i, s in enumerate(sets)]
 
 
-@pytest.mark.parametrize("family", [1024, 2])
+@pytest.mark.parametrize("family", [4096, 2])
 def test_classes_equal_brute_force(spark, family, monkeypatch):
     monkeypatch.setattr(ngram_join, "FAMILY_SETS", family)
     r = random.Random(11)

@@ -38,8 +38,8 @@ SKETCH_BITS, PART, TABLE_BITS = 22, 1 << 15, 24
 CHUNK = 1 << 20
 #: Within buckets of up to so many sets, those without a viable partner are dropped.
 SHORT_RUN = 48
-#: Families of up to so many tokens and sets are small.
-FAMILY_TOKENS, FAMILY_SETS = 1_000_000, 1024
+#: Families of up to so many tokens (24 MB) and sets are small.
+FAMILY_TOKENS, FAMILY_SETS = 4_000_000, 4096
 #: A bucket of more sets is passed on in parts.
 LONG_RUN = 1 << 20
 
