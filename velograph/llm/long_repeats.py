@@ -117,7 +117,7 @@ def segments(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
         yield number, offset, count, h[place[first]].view(np.int64), digest[:, 0], digest[:, 1]
 
 
-def _encoded(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[bytes]]]:
+def encoded(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[bytes]]]:
     """Runs of rows with about PIECE bytes of text: number of the first, texts."""
     start, size, held = 0, 0, []
     for i, v in enumerate(batch.column(column)):
@@ -130,7 +130,7 @@ def _encoded(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[byt
         yield start, held
 
 
-def _own(docs: DataFrame, text: str) -> DataFrame:
+def own_rows(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64(whole_text(text)).alias("key"), whole_text(text).alias("text"))
 
 
@@ -138,15 +138,15 @@ def name_segments(docs: DataFrame, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = (pa.int32(), pa.int16(), pa.int64(), pa.int64(), pa.int64())
         for batch in batches:
-            for start, texts in _encoded(batch, 2):
+            for start, texts in encoded(batch, 2):
                 for number, *cols in segments(texts):
                     rows = pa.array(number + start)
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], names=[x.split()[0] for x in SEGMENTS.split(", ")])
 
-    return settle(_own(docs, text).mapInArrow(run, SEGMENTS), "segments")
+    return settle(own_rows(docs, text).mapInArrow(run, SEGMENTS), "segments")
 
 
-def _matching_rows(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
+def matching_rows(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
     """doc_id, key, text of documents whose key may be among wanted's: texts that aren't needed stay out of the shuffle."""
     held = docs.sparkSession.sparkContext.broadcast(bit_table(wanted, F.col("key"), TABLE_BITS))
 
@@ -156,7 +156,7 @@ def _matching_rows(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
             at = np.asarray(b.column(1)) & ((1 << TABLE_BITS) - 1)
             yield b.filter(pa.array((bits[at >> 6] >> (at & 63)) & 1 == 1))
 
-    return _own(docs, text).mapInArrow(run, "doc_id long, key long, text string")
+    return own_rows(docs, text).mapInArrow(run, "doc_id long, key long, text string")
 
 
 def fetch(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
@@ -172,7 +172,7 @@ def fetch(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
                 at, n = found.field("at").to_pylist(), found.field("n").to_pylist()
                 yield pa.RecordBatch.from_arrays([*(found.field(c) for c in (*CONTENT, "copies")), pa.array([raw[s : s + k + LENGTH - 1] for s, k in zip(at, n, strict=True)], pa.binary())], names=[*CONTENT, "copies", "bytes"])
 
-    rows = _matching_rows(docs, lists.select(F.col("__key").alias("key")), text)
+    rows = matching_rows(docs, lists.select(F.col("__key").alias("key")), text)
     joined = rows.join(lists, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("key") == F.col("__key"))).select("text", "found")
     # rows equal in doc_id and text are fetched once each
     return settle(joined.mapInArrow(run, "anchor long, d1 long, d2 long, copies long, bytes binary").dropDuplicates(CONTENT), "fetched")
@@ -343,8 +343,8 @@ def _cut(docs: DataFrame, text: str, column: str, finish, untouched) -> DataFram
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "spans", column.split()[0]])
 
     schema = f"doc_id long, n_bytes long, n_removed long, n_spans long, spans array<struct<start:int,end:int>>, {column}"
-    changed = _matching_rows(docs, gone.select(F.col("__key").alias("key")), text).join(gone, same).select("doc_id", "text", "spans").mapInArrow(run, schema)
-    own = _own(docs, text)
+    changed = matching_rows(docs, gone.select(F.col("__key").alias("key")), text).join(gone, same).select("doc_id", "text", "spans").mapInArrow(run, schema)
+    own = own_rows(docs, text)
     zero = F.lit(0).cast("long")
     light = own.select("doc_id", "key", F.octet_length("text").cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), F.expr("cast(array() as array<struct<start:int,end:int>>)").alias("spans"), untouched(F.col("text")))
     return light.join(gone.select("__doc", "__key"), same, "left_anti").drop("key").unionByName(changed)

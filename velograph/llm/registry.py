@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from velograph.llm import q_bpe, q_long_repeats, q_mixing, q_neighbours, q_ngram_join, q_pii, q_quality, q_toxicity, q_warc
+from velograph.llm import q_bpe, q_long_repeats, q_mixing, q_neighbours, q_ngram_join, q_pii, q_quality, q_toxicity, q_unit_dedup, q_warc
 
-MODULES = (q_mixing, q_pii, q_long_repeats, q_quality, q_toxicity, q_warc, q_bpe, q_ngram_join, q_neighbours)
+MODULES = (q_mixing, q_pii, q_long_repeats, q_quality, q_toxicity, q_unit_dedup, q_warc, q_bpe, q_ngram_join, q_neighbours)
 
 
 def queries() -> dict:
