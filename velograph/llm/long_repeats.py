@@ -35,7 +35,7 @@ from velograph.llm.shared import bit_table, settle, whole_text
 LENGTH, GRAM = 400, 128
 #: Bytes of a text or of several texts hashed at once; places within them fit PLACE_BITS.
 PIECE, PLACE_BITS = 2 << 20, 22
-SHARD_BYTES, HOT, TABLE_BITS = 1_500_000, 2048, 24
+SHARD_BYTES, HOT, TABLE_BITS = 1_000_000, 1536, 24
 
 _U = np.uint64
 _ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3]
