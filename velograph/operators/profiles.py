@@ -35,10 +35,11 @@ def measures(p: Params, speed: str = "calc_speed_kmh", exact_decimals: int | Non
     d = v if exact_decimals is None else v.cast(f"decimal(18,{exact_decimals})")
     mean = lambda x: F.round(F.avg(x).cast("double") if exact_decimals is None else F.sum(x).cast("double") / F.count(x), 2)
     running = F.when(v > p.running_above, d)
-    q = lambda share: F.round(F.percentile_approx(v, F.lit(share), F.lit(10000)), 2)
+    both = F.percentile_approx(v, F.array(F.lit(0.5), F.lit(0.85)), F.lit(10000))  # one sketch, as equal aggregates are computed once
+    q = lambda i: F.round(F.get(both, F.lit(i)), 2)
     return [
         mean(d).alias("avg_travel_speed_kmh"), (mean(running) if exact_decimals is None else F.round(F.try_divide(F.sum(running).cast("double"), F.count(running)), 2)).alias("avg_running_speed_kmh"),
-        q(0.5).alias("median_speed_kmh"), q(0.85).alias("p85_speed_kmh"), F.round(F.stddev_samp(v), 2).alias("stddev_speed_kmh"),
+        q(0).alias("median_speed_kmh"), q(1).alias("p85_speed_kmh"), F.round(F.stddev_samp(v), 2).alias("stddev_speed_kmh"),
         F.count("point_id").alias("n_samples"), F.count_distinct("source_entity_id").alias("n_unique_source_ids"),
         F.count_distinct("observation_date").alias("n_unique_observation_days"), F.count_distinct("speed_source").alias("n_speed_derivation_methods"),
         F.round(F.avg(F.coalesce((v <= p.running_above).cast("double"), F.lit(0.0))), 4).alias("stopped_observation_ratio"),
