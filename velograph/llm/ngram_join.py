@@ -40,6 +40,8 @@ CHUNK = 1 << 20
 SHORT_RUN = 48
 #: Families of up to so many tokens (24 MB) and sets are small.
 FAMILY_TOKENS, FAMILY_SETS = 4_000_000, 4096
+#: Tokens of the small families that one task gets, on the average.
+GROUP_TOKENS = 1_000_000
 #: A bucket of more sets is passed on in parts.
 LONG_RUN = 1 << 20
 
@@ -369,7 +371,7 @@ def families(bucket: DataFrame) -> DataFrame:
     size = named.groupBy(F.col("family").alias("f")).agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("members"))
     small = (F.col("tokens") <= FAMILY_TOKENS) & (F.col("members") <= FAMILY_SETS)
     total = named.agg(F.sum("n")).first()[0] or 0
-    group = F.when(small, F.pmod(F.xxhash64("family"), F.lit(int(total // FAMILY_TOKENS) + 1)))
+    group = F.when(small, F.pmod(F.xxhash64("family"), F.lit(int(total // GROUP_TOKENS) + 1)))
     return settle(named.join(size, F.col("family") == F.col("f")).select("sid", "family", group.alias("group")), "ngram-families")
 
 
