@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -17,7 +19,9 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; only where it is unset (tests), a local one is set."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
-        folder = f"file://{tempfile.mkdtemp(prefix='velograph-')}"
+        own = tempfile.mkdtemp(prefix="velograph-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        folder = f"file://{own}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
