@@ -53,7 +53,7 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(*[F.expr(e).alias(n) for n, e in POINT.items()], F.col("ts").cast("timestamp").alias("timestamp_utc"), "event_type", "value", "props")
 
 
-POINTS_SQL = "pts AS (" + select_sql(POINT, "events") .replace(" FROM events", ", ts AS timestamp_utc, event_type, value, props FROM events") + ")"
+POINTS_SQL = "pts AS (" + select_sql(POINT, "events").replace(" FROM events", ", ts AS timestamp_utc, event_type, value, props FROM events") + ")"
 
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
