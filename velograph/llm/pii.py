@@ -17,7 +17,6 @@ an empty result; extra columns pass through sanitise() untouched.
 from __future__ import annotations
 
 import hashlib
-import math
 import re
 import zlib
 from collections.abc import Iterator
