@@ -1,11 +1,13 @@
 """Every registered query of the engine against its SQL in DuckDB, on the smallest tables."""
 
+import math
 import os
 
 import duckdb
 import pytest
 
 from velograph.plans import registry
+from velograph.plans.standins import segments
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -33,3 +35,27 @@ def test_query_equals_its_sql(spark, db, name):
     order = sorted(df.columns)
     assert order == sorted(want.columns)
     assert plain(df.collect(), df.columns, order) == plain(want.fetchall(), list(want.columns), order)
+
+
+def test_whole_matching_leaves_no_point_out(spark, db):
+    """The nine matching queries over every point, against pairs by nested loops."""
+    run = registry.queries()
+    pts = db.sql("SELECT event_id, ((event_id * 7919) % 2999)::DOUBLE, ((event_id * 104729) % 3001)::DOUBLE FROM events").fetchall()
+    segs = segments(spark, SF).select("match_segment_id", "x1", "y1", "x2", "y2").collect()
+    near = {}
+    for p, x, y in pts:
+        for s, x1, y1, x2, y2 in segs:
+            q = (x2 - x1) ** 2 + (y2 - y1) ** 2
+            u = max(0.0, min(1.0, ((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / q)) if q else 0.0
+            near[p, s] = round(math.hypot(x - x1 - u * (x2 - x1), y - y1 - u * (y2 - y1)), 6)
+    least = {p: min(near[p, s[0]] for s in segs) for p, _, _ in pts}
+    pairs = {(r[0], r[1]) for r in run["candidate_join_grid_all"](spark, SF).collect()}
+    assert pairs == {k for k, d in near.items() if d <= 40} and any(p % 3 for p, _ in pairs)
+    found = {r[0]: r[1] for r in run["nearest_distance_all"](spark, SF).collect()}
+    assert found.keys() == least.keys() and all(found[p] == pytest.approx(d) if d <= 150 else found[p] is None for p, d in least.items())
+    assert sum(r["unmatched_point_count"] for r in run["unmatched_buckets_all"](spark, SF).collect()) == sum(d > 40 for d in least.values())
+    matched = {p for p, d in least.items() if d <= 40}
+    for name in ("best_segment", "best_road", "candidate_counts", "runner_up_margin"):
+        assert {r["point_id"] for r in run[f"{name}_all"](spark, SF).collect()} == matched
+    assert sum(r["n"] for r in run["radius_tier_all"](spark, SF).collect()) == len(matched)
+    assert {r["metric"]: r["value"] for r in run["match_metrics_all"](spark, SF).collect()}["sample_rows"] == len(matched)
