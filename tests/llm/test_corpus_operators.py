@@ -218,6 +218,25 @@ def test_recall(spark):
     assert len(got & want) >= 0.9 * len(want)
 
 
+def test_copies_and_dense_clusters_lose_no_neighbour(spark):
+    """A third equal rows, a third near copies, and repeated rows of one id, in any order of rows: as by brute force."""
+    r = np.random.default_rng(4)
+    v = r.normal(size=(1500, 24)).astype(np.float32)
+    v[1::3] = v[1]
+    v[2::3] = v[2] + 1e-3 * r.normal(size=(500, 24)).astype(np.float32)
+    rows = [(i, x.tolist()) for i, x in enumerate(v)]
+    d = v.astype(float)
+    want = []
+    for q in range(0, 1500, 50):
+        s = cosine(d[q], d)
+        s[q] = -2
+        want += [(q, k + 1, int(i), float(s[i])) for k, i in enumerate(np.lexsort((np.arange(1500), -s))[:5])]
+    for order in (rows + rows[50:51] * 200, rows[::-1]):
+        df = spark.createDataFrame(order, "vec_id long, embedding array<float>")
+        got = sorted(tuple(x) for x in PermutationIndex(df).search(F.col("vec_id") % 50 == 0).collect())
+        assert got == want
+
+
 # --- registered queries and the pipeline ----------------------------------------------------------------------------------------
 
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")

@@ -2,9 +2,11 @@
 
 A vector is represented by the order of its nearest pivots: `places` holds, for each pivot, its place in that order. Across a
 block of rows these bytes, read pivot by pivot, are the pivots' inverted files (posted row and place). A query adds
-|its place - posted place| file by file, which is the footrule distance, ranks the block by it, and reranks the best
-CANDIDATES by the exact cosine in double precision. The PIVOTS pivots are spread over a bounded sample (SAMPLE rows of
-the smallest hashes); every row is indexed. Rows and queries meet in blocks of BLOCK each, so tasks are bounded whatever the
+|its place - posted place| file by file, which is the footrule distance, ranks the block by it, and scores the best
+CANDIDATES by the exact cosine in double precision. The k-th best of these scores is a floor: every other row of the block whose
+cosine may reach it, by a product with the block's unit vectors and a bound on its rounding, is scored, too. So copies and dense
+clusters, whose permutations hardly differ, lose nothing, and the answer doesn't depend on the order of rows. The PIVOTS pivots
+are spread over a bounded sample (SAMPLE rows of the smallest hashes); every row is indexed. Rows and queries meet in blocks of BLOCK each, so tasks are bounded whatever the
 data's clusters are. Whole permutations are used, as prefixes of 24 places with probing of the nearest files only
 reached a recall of 0.8 on near-uniform vectors (README).
 
@@ -68,6 +70,11 @@ def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return np.asarray(flat.flatten(), np.float64).reshape(len(column), -1)
 
 
+def rounding(dim: int) -> float:
+    """A bound on how far a product of unit vectors may lie from cosine(): both sum dim terms, in any order."""
+    return 8 * (dim + 8) * np.finfo(np.float64).eps
+
+
 def footrules(files: np.ndarray, own: np.ndarray) -> np.ndarray:
     """files: [pivot, row] posted places; own: the query's place of each pivot."""
     q = own[:, None]
@@ -114,10 +121,17 @@ class PermutationIndex:
             if posted.num_rows and asking.num_rows:
                 ids, rows = np.asarray(posted["vec_id"]), matrix(posted["v"])
                 files = np.ascontiguousarray(np.array([np.frombuffer(x, np.uint8) for x in posted["places"].to_pylist()]).T)
+                unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+                slack = rounding(rows.shape[1])
                 for qid, q, own_places in zip(np.asarray(asking["vec_id"]).tolist(), matrix(asking["v"]), asking["places"].to_pylist(), strict=True):
-                    distance = footrules(files, np.frombuffer(own_places, np.uint8))
-                    best = np.argpartition(distance, CANDIDATES)[: CANDIDATES + 1] if len(ids) > CANDIDATES + 1 else np.arange(len(ids))
-                    best = best[ids[best] != qid]
+                    other = np.flatnonzero(ids != qid)
+                    distance = footrules(files, np.frombuffer(own_places, np.uint8))[other]
+                    best = other[np.argpartition(distance, CANDIDATES)[:CANDIDATES]] if len(other) > CANDIDATES else other
+                    if len(other) > len(best):
+                        # of k different ids, so that repeated rows of one id don't lift the floor
+                        floor = np.sort(cosine(q, rows[best[np.unique(ids[best], return_index=True)[1]]]))[::-1][k - 1 : k]
+                        # not below, instead of above, so that what isn't a number stays open
+                        best = other[~((unit @ (q / np.linalg.norm(q)))[other] + slack < floor[0])] if len(floor) else other
                     score = cosine(q, rows[best]) if len(best) else np.zeros(0)
                     found: dict[tuple, None] = {}
                     for t in np.lexsort((ids[best], -score)):
