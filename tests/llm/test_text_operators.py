@@ -149,6 +149,27 @@ def test_disguised_words_score_as_themselves(spark):
     assert kept.columns == rows.columns and kept.filter("doc_id = 2000").isEmpty() and kept.filter("doc_id = 2003").count() == 2
 
 
+def test_every_disguise_of_the_channel_reaches_the_decoder(spark):
+    r = random.Random(6)
+    words = ["house", "river", "table", "green", "walk", "paper", "north", "cloud"]
+    rows, labels = [], []
+    for i in range(900):
+        body = [r.choice(words) for _ in range(20)]
+        if i % 6 == 0:
+            body.insert(r.randrange(20), r.choice(["idiot", "bass"]))
+        rows.append((i, " ".join(body)))
+        labels.append((i, 1, int(i % 6 == 0)))
+    forms = ["1d107", "1d!0+", "id!0t", "!diot", "ba$$", "ba$$!", "iiddiioott", "bbaassss", "i d i o t", "i  d  i  o  t", "i - d - i - o - t", "i\td\ti\to\tt", "i_d_.i..o...t", "ii dd ii oo tt", "1 d 1 0 7"]
+    plain = ["green 2024 river", "green! river!!", "5 8 4 1 7", "house (1,234.56) table $100"]
+    rows += [(2000 + i, f"green {w} river") for i, w in enumerate(forms)] + [(3000 + i, w) for i, w in enumerate(plain)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(df, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    by = {x["doc_id"]: x["score"] for x in toxicity.score(df, model).collect()}
+    assert [w for i, w in enumerate(forms) if by[2000 + i] < 0.5] == []
+    assert "8455" in toxicity.marked("green 8455 river")  # no plain letter; the language model decides what it is
+    assert [w for i, w in enumerate(plain) if by[3000 + i] >= 0.5] == []
+
+
 def test_without_labels_nothing_is_toxic(spark):
     rows, labels = toxic_corpus(spark)
     model = toxicity.fit(rows, labels.filter("false"))

@@ -2,8 +2,8 @@
 
 The source model is a character trigram model counted over every document (a table of fixed size, 64^3). The channel
 knows leetspeak (a digit or symbol for a letter), spacing (separators between the letters of a word) and repetition.
-Words with such marks become a lattice of what each character may stand for, and Viterbi finds the likeliest reading; plain
-words have one reading and skip it. Readings are kept per distinct word in a bounded cache.
+Words with such marks, and words with a doubled letter, become a lattice of what each character may stand for, and Viterbi finds
+the likeliest reading; other words have one reading and skip it. Readings are kept per distinct word in a bounded cache.
 
 The score is a logistic regression over the presence of restored words and of letter sequences within them. Features and
 weights are fit on a bounded sample of labelled rows: SAMPLE_ROWS rows of the smallest hashes, and FEATURES features. Labels,
@@ -41,9 +41,10 @@ AS_LEET, AS_BREAK, DROP_SEPARATOR, DROP_SECOND, DROP_MORE = 1.0, 3.0, 0.2, 2.0,
 
 WORD = re.compile(r"[^\W\d_]+")
 MARK = re.compile(r"[0-9@$!|+]+")
-SPACED = re.compile(r"(?:\s\S){4,}(?=\s)")
+SPACED = re.compile(r"(?<![^\W_])([^\W_]|[@$!|+])\1*(?:[\s.\-_*]+([^\W_]|[@$!|+])\2*){2,}(?![^\W_])")
+GAP = re.compile(r"[\s.\-_*]+")
 DOTTED = re.compile(r"(?:[^\W\d_][.\-_*]){2,}[^\W\d_](?![^\W\d_])")
-RUN = re.compile(r"(.)\1\1")
+TWICE = re.compile(r"(.)\1")
 
 
 def places() -> np.ndarray:
@@ -130,7 +131,7 @@ class Decoder:
 
 
 def marked(lower: str) -> set[str]:
-    """Stretches that may hold a disguised word: tokens with a digit or symbol beside letters, and letters set apart."""
+    """Stretches that may hold a disguised word: tokens with a digit or symbol, as they stand and without marks at their ends, and letters set apart."""
     found, end = set(), -1
     for m in MARK.finditer(lower):
         if m.start() < end:
@@ -140,10 +141,11 @@ def marked(lower: str) -> set[str]:
             start -= 1
         while end < len(lower) and not lower[end].isspace():
             end += 1
-        token = lower[start:end].rstrip("!.,;:?*#&%$)(\"'").lstrip("*#&%.,;:)(\"'")
-        if MARK.search(token) and sum(map(str.isalpha, token)) >= 2:
-            found.add(token)
-    found.update(m[0].strip() for m in SPACED.finditer(f" {lower} "))
+        for ends in (".,;:?*#&%)(\"'", "!.,;:?*#&%$)(\"'"):
+            token = lower[start:end].strip(ends)
+            if MARK.search(token):
+                found.add(token)
+    found.update(GAP.sub(" ", m[0]) for m in SPACED.finditer(lower))
     found.update(m[0] for m in DOTTED.finditer(lower))
     return found
 
@@ -164,7 +166,7 @@ class Reader:
 
     def of_word(self, word: str) -> tuple:
         readings = [word]
-        if RUN.search(word):
+        if TWICE.search(word):
             readings += WORD.findall(self.decoder.restore(word))
         names = {x for r in readings for x in self.named(r)}
         return tuple(names) if self.features is None else tuple(self.features[x] for x in names if x in self.features)
