@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from velograph.llm import registry
 from velograph.llm.unit_dedup import dedup_units, normalise
 
 SCHEMA = "doc_id long, text string, source string"
@@ -41,3 +42,10 @@ def test_repeated_rows_null_ids_and_empty_tables(spark):
     rows = sorted((str(x["doc_id"]), x["n_removed"], x["kept"]) for x in dedup_units(df).collect())
     assert rows == [("3", 1, ""), ("3", 1, ""), ("4", 0, "short"), ("None", 0, line)]
     assert dedup_units(df.filter("false")).count() == 0
+
+
+def test_short_lines_are_removed_too(spark, tmp_path):
+    texts = ["All rights reserved.\n\nx\none line", "all  rights reserved.\n\nX\nother", "x"]
+    spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r["doc_id"]: (r["n_removed"], r["spans"]) for r in registry.queries()["op6_line_hashing_all"](spark, str(tmp_path)).collect()}
+    assert rows == {0: (0, ""), 1: (2, "0:21,23:24"), 2: (1, "0:1")}

@@ -6,14 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velograph.llm.shared import read_table
-from velograph.llm.unit_dedup import dedup_units
+from velograph.llm.unit_dedup import MIN_WORDS, dedup_units
 
 
-def op6_line_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = dedup_units(read_table(spark, sf_dir, "documents"))
+def op6_line_hashing(spark: SparkSession, sf_dir: str, min_words: int = MIN_WORDS) -> DataFrame:
+    found = dedup_units(read_table(spark, sf_dir, "documents"), min_words=min_words)
     return found.select("doc_id", "n_removed", "spans", F.length("kept").cast("long").alias("kept_chars"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_line_hashing_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of any number of words; empty ones stay."""
+    return op6_line_hashing(spark, sf_dir, min_words=1)
+
+
 SQL = r"""
 WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place FROM documents),
 n AS (SELECT *, translate(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'), ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS plain,
@@ -25,5 +30,8 @@ SELECT doc_id, count(CASE WHEN gone THEN 1 END) AS n_removed, coalesce(string_ag
 FROM u GROUP BY doc_id
 """
 
-QUERIES = {"op6_line_hashing": op6_line_hashing}
-ORACLES = {"op6_line_hashing": SQL}
+#: A line without words is empty when normalised.
+SQL_ALL = SQL.replace("len(string_split(plain, ' ')) >= 5", "plain <> ''")
+
+QUERIES = {"op6_line_hashing": op6_line_hashing, "op6_line_hashing_all": op6_line_hashing_all}
+ORACLES = {"op6_line_hashing": SQL, "op6_line_hashing_all": SQL_ALL}
