@@ -59,3 +59,8 @@ def test_whole_matching_leaves_no_point_out(spark, db):
         assert {r["point_id"] for r in run[f"{name}_all"](spark, SF).collect()} == matched
     assert sum(r["n"] for r in run["radius_tier_all"](spark, SF).collect()) == len(matched)
     assert {r["metric"]: r["value"] for r in run["match_metrics_all"](spark, SF).collect()}["sample_rows"] == len(matched)
+
+
+def test_the_comparison_of_two_sources_takes_every_line(spark, db):
+    got = registry.queries()["two_source_comparison_all"](spark, SF)
+    assert got.agg({"overlap_count": "sum"}).first()[0] == db.sql("SELECT count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey").fetchall()[0][0]

@@ -94,10 +94,14 @@ def merge_counts(parts: list[DataFrame], keys: tuple[str, ...], value: str) -> D
     return reduce(DataFrame.unionByName, parts).groupBy(*keys).agg(F.sum(value).alias(value))
 
 
-def two_speed_comparison(df: DataFrame, keys: tuple[str, ...], first: str = "gps_speed_kmh", second: str = "displacement_speed_kmh", accuracy: int = 10000) -> DataFrame:
-    """Of rows with both speeds: how many, mean signed and median and 95th percentile of absolute difference."""
+def two_speed_comparison(df: DataFrame, keys: tuple[str, ...], first: str = "gps_speed_kmh", second: str = "displacement_speed_kmh", accuracy: int = 10000, exact: bool = False) -> DataFrame:
+    """Of rows with both speeds: how many, mean signed and median and 95th percentile of absolute difference.
+
+    exact: quantiles are the least values that as large a share doesn't exceed; a group holds its distinct differences then.
+    """
     d = F.col(first) - F.col(second)
-    q = lambda share: F.percentile_approx(F.abs(d), F.lit(share), F.lit(accuracy))
+    disc = lambda share: F.expr(f"percentile_disc({share}) WITHIN GROUP (ORDER BY abs(`{first}` - `{second}`))")
+    q = disc if exact else lambda share: F.percentile_approx(F.abs(d), F.lit(share), F.lit(accuracy))
     return df.filter(d.isNotNull()).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("overlap_count"), F.avg(d).alias("mean_signed_difference_kmh"), q(0.5).alias("median_absolute_difference_kmh"), q(0.95).alias("p95_absolute_difference_kmh")
     )
