@@ -237,6 +237,20 @@ def test_copies_and_dense_clusters_lose_no_neighbour(spark):
         assert got == want
 
 
+def test_a_run_passed_on_in_parts_keeps_all_sets(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "LONG_RUN", 40)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 59)
+    try:
+        # the last part of token 5 is one set
+        rows = [(5, s, 20, 0) for s in range(60)] + [(3, s, 20, 0) for s in range(30)]
+        got = ngram_join.buckets(spark.createDataFrame(rows[:60], "token long, sid long, n int, i int"))
+        assert sorted(r["sid"] for r in got.collect()) == list(range(60))
+        got = ngram_join.buckets(spark.createDataFrame(rows, "token long, sid long, n int, i int"))
+        assert sorted(r["sid"] for r in got.filter("token = 5").collect()) == list(range(60))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 # --- registered queries and the pipeline ----------------------------------------------------------------------------------------
 
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")

@@ -262,11 +262,12 @@ def partnered(token: np.ndarray, n: np.ndarray, i: np.ndarray, length: np.ndarra
 def buckets(posted: DataFrame) -> DataFrame:
     """Postings of tokens that two viable sets or more share, the first token for each list of members. Written out.
 
-    Rows come sorted by token, so a task holds one run at most beside its batch.
+    Rows come sorted by token, so a task holds one run at most beside its batch. A run that is passed on in parts is neither
+    pruned nor named by its members, as no part tells what the others hold.
     """
     names = ["token", "sid", "n", "i"]
 
-    def judged(cols: list[np.ndarray], known: set[int]) -> pa.RecordBatch | None:
+    def judged(cols: list[np.ndarray], known: set[int], parted: list[int]) -> pa.RecordBatch | None:
         fresh = np.ones(len(cols[0]), bool)
         fresh[1:] = (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1])
         cols = [c[fresh] for c in cols]  # a set that several tasks have posted
@@ -277,10 +278,11 @@ def buckets(posted: DataFrame) -> DataFrame:
             starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
             length = np.diff(np.append(starts, len(token)))
             if turn == 0:
-                keep = partnered(token, cols[2], cols[3], length)
+                keep = partnered(token, cols[2], cols[3], length) | np.isin(token, parted)
                 cols = [c[keep] for c in cols]
         sig = np.add.reduceat(mixed(cols[1].view(_U)), starts) ^ mixed(length.astype(_U))
-        good = np.zeros(len(starts), bool)
+        good = np.isin(token[starts], parted)
+        sig[good] = mixed(~mixed(token[starts][good].view(_U)))
         for r, key in enumerate(sig.tolist()):
             if key not in known:
                 if len(known) > 2_000_000:
@@ -292,16 +294,18 @@ def buckets(posted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest, known = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)], set()
+        parted: list[int] = []  # the last tokens whose runs were passed on in parts
         for b in batches:
             cols = [np.concatenate((r, np.asarray(b.column(k)))) for k, r in enumerate(rest)]
             # the last run may go on in the next batch; a very long one is passed on in parts
             cut = int(np.searchsorted(cols[0], cols[0][-1])) if len(cols[0]) else 0
-            cut = cut if len(cols[0]) - cut <= LONG_RUN else len(cols[0])
+            if len(cols[0]) - cut > LONG_RUN:
+                parted, cut = [*parted[-1:], int(cols[0][-1])], len(cols[0])
             rest = [c[cut:] for c in cols]
-            out = judged([c[:cut] for c in cols], known)
+            out = judged([c[:cut] for c in cols], known, parted)
             if out is not None:
                 yield out
-        out = judged(rest, known)
+        out = judged(rest, known, parted)
         if out is not None:
             yield out
 
