@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from velograph.llm import long_repeats, mixing, ngram_join, registry
+from velograph.llm import long_repeats, mixing, ngram_join, registry, words
 from velograph.llm.permutation_index import PermutationIndex, cosine
 from velograph.llm.runindex import long_matches
 from velograph.llm.warc import Members, base32_sha1, compress, read_warc, record_bytes, write_warc
@@ -107,6 +107,43 @@ def test_cut_equals_brute_force(spark, hot, monkeypatch):
     assert hashlib.sha256(kept[6]).hexdigest() == rows[6][3] and kept[4] == b""
 
 
+def brute_passages(texts, n=50):
+    count: dict = {}
+    lists = [(t or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).encode().split() for t in texts]
+    for w in lists:
+        for i in range(len(w) - n + 1):
+            count[tuple(w[i : i + n])] = count.get(tuple(w[i : i + n]), 0) + 1
+    out = []
+    for w in lists:
+        hit = np.zeros(len(w) + 1, int)
+        for i in range(len(w) - n + 1):
+            if count[tuple(w[i : i + n])] > 1:
+                hit[i : i + n] = 1
+        out.append((int(np.count_nonzero(np.diff(np.concatenate(([0], hit))) == 1)), int(hit.sum())))
+    return out
+
+
+@pytest.mark.parametrize("hot", [2, 2048])
+def test_passages_equal_brute_force(spark, hot, monkeypatch):
+    """Passages of 50 words and more, shorter than 400 bytes, within other text, in one text twice, and none of 49 words."""
+    monkeypatch.setattr(long_repeats, "HOT", hot)
+    r = random.Random(12)
+    prose = lambda n: " ".join("".join(r.choice("abcdé") for _ in range(r.randint(1, 6))) for _ in range(n))
+    passage, short = prose(56), prose(49)
+    texts = ["", None, *[f"{prose(r.randint(0, 90))} {passage.upper() if i == 3 else passage} {prose(r.randint(0, 90))}" for i in range(8)]]
+    texts += [f"{prose(60)} {short}", f"{short}\n{prose(60)}", passage.replace(" ", "\n\t"), f"{prose(30)} {(x := prose(51))} {prose(3)} {x}", "la " * 300, "one two three " * 40, "x" * 900]
+    df = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], DOCS)
+    rows = {x["doc_id"]: (x["n_passages"], x["n_passage_words"]) for x in long_repeats.cut_digests(df).collect()}
+    assert [rows[i] for i in range(len(texts))] == brute_passages(texts) and len(passage) < 400 and rows[10] == (0, 0) and rows[12] == (1, 56)
+
+
+def test_a_text_that_repeats_itself_has_few_segments():
+    for text in (b"y" * 200_000, b"ab" * 100_000):
+        for window in (long_repeats.BYTES, long_repeats.WORDS):
+            found = list(long_repeats.segments(long_repeats.symbols([text * (1 if window.width == 1 else 0) or b"y " * 100_000], window), window))
+            assert sum(len(x[0]) for x in found) < 60 and sum(int(x[2].sum()) for x in found) == (200_000 if window.width == 1 else 100_000) - window.length + 1
+
+
 def test_texts_longer_than_a_piece(spark, monkeypatch):
     monkeypatch.setattr(long_repeats, "PIECE", 1000)
     r = random.Random(7)
@@ -188,6 +225,9 @@ def test_repeated_rows_and_missing_ids(spark):
 
 def test_long_words_and_chunks(monkeypatch):
     monkeypatch.setattr(ngram_join, "CHUNK", 50)
+    monkeypatch.setattr(words, "CHUNK", 50)
+    parts = [b"", b" a bc  d\n" * 40, b"q" * 900, b"\t", b"a bc d"]
+    assert [x.tolist() for x in words.hash_each(parts)] == [words.word_hashes(x)[0].tolist() for x in parts]
     texts = ["q" * 70000 + " a b c d", "q" * 70001 + " a b c d", " a  b\nc\td e f", "a b c d e f", "x"]
     sets = ngram_join.shingle_sets(texts)
     assert sets[0].tolist() != sets[1].tolist() and sets[2].tolist() == sets[3].tolist() and [len(s) for s in sets] == [1, 1, 2, 2, 1]

@@ -31,11 +31,10 @@ from pyspark.sql import functions as F
 
 from velograph.llm.components import components
 from velograph.llm.shared import bit_table, settle, whole_text
+from velograph.llm.words import CHUNK, mixed, word_hashes
 
 WORDS, PERCENT, ROUNDS = 5, 75, 3
 SKETCH_BITS, PART, TABLE_BITS = 22, 1 << 15, 24
-#: Bytes of text hashed at once.
-CHUNK = 1 << 20
 #: Within buckets of up to so many sets, those without a viable partner are dropped.
 SHORT_RUN = 48
 #: Families of up to so many tokens (24 MB) and sets are small.
@@ -46,39 +45,9 @@ GROUP_TOKENS = 1_000_000
 LONG_RUN = 1 << 20
 
 _U = np.uint64
-SPACE = np.zeros(256, bool)
-SPACE[[9, 10, 11, 12, 13, 32]] = True
-LOWER = np.arange(256, dtype=np.uint8)
-LOWER[65:91] += 32
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers that spreads every bit (the finaliser of splitmix64)."""
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
-
-
-BYTE_CODE = mixed(np.arange(1, 257, dtype=_U) * _U(0x9E3779B97F4A7C15))
-POWERS = np.cumprod(np.full(1 << 16, 0xD6E8FEB86659FD93, _U))
 PLACE = mixed(np.arange(1001, 1001 + WORDS, dtype=_U)) | _U(1)
 
 
-def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Of each word of lower-cased text: its hash and where it starts."""
-    b = LOWER[np.frombuffer(raw, np.uint8)]
-    space = SPACE[b]
-    edge = np.diff(np.concatenate(([True], space, [True])).astype(np.int8))
-    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    if not len(starts):
-        return np.zeros(0, _U), starts
-    place = np.zeros(len(b), np.int64)
-    place[starts[0] :] = np.arange(starts[0], len(b)) - np.repeat(starts, np.diff(np.append(starts, len(b))))
-    code = BYTE_CODE[b] * POWERS[place & 0xFFFF] * ((place >> 16).astype(_U) * _U(2) + _U(1))
-    code[space] = 0
-    return mixed(np.add.reduceat(code, starts) + (ends - starts).astype(_U)), starts
-
-
 def shingle_sets(texts: list[str]) -> list[np.ndarray]:
     """Of each text the sorted distinct hashes of its shingles."""
     out: list[np.ndarray] = []

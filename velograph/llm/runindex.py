@@ -1,6 +1,6 @@
 """A run-compressed Burrows-Wheeler index of a set of strings, and the matching statistics that stream from it.
 
-The suffixes of all strings are sorted (separators end a suffix; ties go by position). Only the ends of the transform's
+Strings are arrays of unsigned numbers (bytes, or codes of words); the largest number of their type ends a string and is no symbol. The suffixes of all strings are sorted (separators end a suffix; ties go by position). Only the ends of the transform's
 runs are sampled: at a run's first row the longest common prefix with the row above, at its last row that with the row
 below. Within a string, both lengths fall by one from a position to the next unless that position is sampled, so one pass
 over the samples in text order gives, for every position, the longest match that it has anywhere else in the set.
@@ -10,28 +10,28 @@ from __future__ import annotations
 
 import numpy as np
 
-#: Never a byte of UTF-8.
-END = 0xFF
-
 
 class RunIndex:
-    def __init__(self, strings: list[bytes]):
+    def __init__(self, strings: list[np.ndarray]):
+        kind = strings[0].dtype
+        self.end = end = np.array([np.iinfo(kind).max], kind)
         self.starts = np.cumsum([0] + [len(s) + 1 for s in strings])[:-1]
-        raw = b"".join(s + b"\xff" for s in strings)
-        t = self.text = np.frombuffer(raw, np.uint8)
+        t = self.text = np.concatenate([x for s in strings for x in (s, end)])
         n = self.n = len(t)
-        ends = np.flatnonzero(t == END)
+        ends = np.flatnonzero(t == end)
         self.left = (np.repeat(ends, np.diff(np.concatenate(([-1], ends)))) - np.arange(n)).astype(np.int32)
-        padded = np.concatenate((t, np.full(8, END, np.uint8)))
+        # the first sort is by as many symbols as 64 bits hold
+        per, bits = 8 // kind.itemsize, np.uint64(8 * kind.itemsize)
+        padded = np.concatenate((t, np.repeat(end, per))).astype(np.uint64)
         key = np.zeros(n, np.uint64)
-        for j in range(8):
-            key = (key << np.uint64(8)) | padded[j : j + n]
-        short = np.flatnonzero(self.left < 8)
-        key[short] |= np.uint64(0xFFFFFFFFFFFFFFFF) >> (self.left[short].astype(np.uint64) * np.uint64(8))
+        for j in range(per):
+            key = (key << bits) | padded[j : j + n]
+        short = np.flatnonzero(self.left < per)
+        key[short] |= np.uint64(0xFFFFFFFFFFFFFFFF) >> (self.left[short].astype(np.uint64) * bits)
         order = np.argsort(key)
         rank, tied = self.ranked(key[order], order, np.zeros(n, np.int64))
-        self.levels: list[tuple[int, np.ndarray]] = [(8, rank.astype(np.int32))]
-        h, longest = 8, int(self.left.max(initial=0))
+        self.levels: list[tuple[int, np.ndarray]] = [(per, rank.astype(np.int32))]
+        h, longest = per, int(self.left.max(initial=0))
         while h < longest:
             # only suffixes that are still tied are sorted on, by the rank of what follows their first h bytes
             going = self.left[tied] >= h
@@ -43,8 +43,8 @@ class RunIndex:
             h *= 2
             self.levels.append((h, rank.astype(np.int32)))
         order = self.order = np.argsort(rank, kind="stable")
-        before = t[order - 1]  # END at the first of a string: its predecessor is a separator, or for the very first the last one
-        change = np.concatenate(([True], (before[1:] != before[:-1]) | (before[1:] == END), [True]))
+        before = t[order - 1]  # end at the first of a string: its predecessor is a separator, or for the very first the last one
+        change = np.concatenate(([True], (before[1:] != before[:-1]) | (before[1:] == end), [True]))
         self.heads, self.tails = np.flatnonzero(change[:-1]), np.flatnonzero(change[1:])
 
     def ranked(self, keys: np.ndarray, places: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -69,7 +69,7 @@ class RunIndex:
                 hit = (rank[a] == rank[b]) & (self.left[a] >= h) & (self.left[b] >= h)
                 a, b, out = a + hit * h, b + hit * h, out + hit * h
         going = np.ones(len(a), bool)
-        for _ in range(7):
+        for _ in range(self.levels[0][0] - 1):
             going &= (self.left[a] > 0) & (self.left[b] > 0) & (self.text[a] == self.text[b])
             a, b, out = a + going, b + going, out + going
         return out
@@ -90,10 +90,11 @@ class RunIndex:
         return np.maximum(self.streamed(self.heads, -1), self.streamed(self.tails, 1))
 
 
-def long_matches(strings: list[bytes], length: int) -> list[np.ndarray]:
+def long_matches(strings: list[bytes] | list[np.ndarray], length: int) -> list[np.ndarray]:
     """Of each string, which of its positions start a match of length or more."""
     if not strings:
         return []
+    strings = [np.frombuffer(s, np.uint8) if isinstance(s, bytes) else s for s in strings]
     index = RunIndex(strings)
     hit = index.matching_statistics() >= length
     return [hit[s : s + len(x)] for s, x in zip(index.starts, strings, strict=True)]

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +18,16 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD_CLASS = r"[^\x20\x09-\x0D]+"
 
 
+#: Paths that settle() has written, in order.
+_SETTLED: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; only where it is unset (tests), a local one is set."""
+    """The folder in spark.checkpoint.dir. Only in one local process (tests) may it be unset; a local one is set then."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         own = tempfile.mkdtemp(prefix="velograph-")
         atexit.register(shutil.rmtree, own, ignore_errors=True)
         folder = f"file://{own}"
@@ -35,9 +44,27 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
+    _SETTLED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def working_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that are settled inside are deleted at the end, when the caller has written what it needs of them."""
+    mark = len(_SETTLED)
+    try:
+        yield
+    finally:
+        for path in _SETTLED[mark:]:
+            drop_folder(spark, path)
+        del _SETTLED[mark:]
+
+
 def whole_text(column: str = "text") -> Column:
     """The text, null taken as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
