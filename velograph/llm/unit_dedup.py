@@ -1,13 +1,20 @@
-"""Removal of repeated lines or paragraphs by hashing.
-
-A text is split at a separator into units. A unit of MIN_WORDS words or more is normalised (ASCII letters in lower case, runs
-of white space as one space, none at the ends) and named by a 128-bit digest. Digests are grouped over the corpus; the
-occurrence that ranks first (doc_id, nulls first, then text, then place) stays, and all others are removed from their
-texts, in the same document or in others. Removed units keep their offsets in the original text (code points, end
-exclusive). Shorter units always stay. Only units and digests are shuffled; texts only where something is removed.
-
-Null texts are empty; rows equal in doc_id and text are treated alike, so that a repeated row doesn't empty its twin; an
-empty table gives an empty result; extra columns are ignored.
+"""Removal of repeated lines (or paragraphs) and, within other lines, of repeated sentences, by hashing.
+
+A text is split at a separator into lines. A line of several sentences is split further, after a full stop, an exclamation or a
+question mark that white space follows; such sentences are units of their own from SENTENCE_WORDS words on, lines from
+min_words words on. A unit is normalised (ASCII letters in lower case, runs of white space as one space, none at the ends) and
+named by a 128-bit digest. Digests are grouped over the corpus; the occurrence that ranks first (doc_id, nulls first, then
+text, then place) stays, and all others are removed from their texts, in the same document or in others. So a passage that is
+repeated within longer lines loses its whole sentences. Removed units keep their offsets in the original text (code points,
+end exclusive); a line goes with its separator, a sentence with the white space after it. A first occurrence is always
+in a line that stays, so what ranks first doesn't hang on what is removed.
+
+Beside that, every document's repeated units are counted, first occurrences included, and their words: documents that share a
+passage show it, whichever of them keeps it. A sentence in a repeated line counts with its line.
+
+Only units, digests and the texts of documents that lose something are shuffled. Null texts are empty; rows equal in doc_id and
+text are treated alike, so that a repeated row doesn't empty its twin (its units count as repeated); an empty table gives an empty
+result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,10 +30,13 @@ from pyspark.sql import functions as F
 from velograph.llm.long_repeats import matching_rows, own_rows
 from velograph.llm.shared import settle
 
-MIN_WORDS = 5
+MIN_WORDS, SENTENCE_WORDS = 1, 8
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
+SENTENCE_END = re.compile(r"[.!?][\x20\x09-\x0D]+")
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-UNITS = "doc_id long, key long, place int, d1 long, d2 long"
+#: A unit's place is its line, and its sentence from 1 (0: the line itself) in the lower bits.
+SENTENCE_BITS = 32
+UNITS = "doc_id long, key long, place long, words int, d1 long, d2 long"
 ROW = ["doc_id", "key"]
 
 
@@ -34,70 +44,120 @@ def normalise(unit: str) -> str:
     return SPACE.sub(" ", unit).strip(" ").translate(UPPER)
 
 
-def unit_digests(text: str, separator: str, min_words: int) -> Iterator[tuple[int, bytes]]:
-    for i, unit in enumerate(text.split(separator)):
-        plain = normalise(unit)
-        if plain and plain.count(" ") + 1 >= min_words:
-            yield i, hashlib.blake2b(plain.encode("utf-8", "replace"), digest_size=16).digest()
+def sentences(line: str) -> list[str]:
+    """The line in parts that each end after a sentence and its white space."""
+    out, at = [], 0
+    for m in SENTENCE_END.finditer(line):
+        out.append(line[at : m.end()])
+        at = m.end()
+    out.append(line[at:])
+    return out
+
 
+def unit_digests(text: str, separator: str, min_words: int, sentence_words: int) -> Iterator[tuple[int, int, bytes]]:
+    """Place, words and digest of every unit."""
+    for i, line in enumerate(text.split(separator)):
+        parts = sentences(line)
+        plain = [normalise(p) for p in parts] if len(parts) > 1 else []
+        several = sum(map(bool, plain)) > 1
+        for j, unit in enumerate([normalise(line), *(plain if several else ())]):
+            words = unit.count(" ") + 1 if unit else 0
+            if words and words >= (sentence_words if j else min_words):
+                yield i << SENTENCE_BITS | j, words, hashlib.blake2b(unit.encode("utf-8", "replace"), digest_size=16).digest()
 
-def name_units(docs: DataFrame, separator: str, min_words: int, text: str = "text") -> DataFrame:
+
+def name_units(docs: DataFrame, separator: str, min_words: int, sentence_words: int, text: str = "text") -> DataFrame:
     """UNITS of every document. Written out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows, places, names = [], [], []
+            rows, places, counts, names = [], [], [], []
             for i, value in enumerate(b.column(2)):
-                for place, digest in unit_digests(value.as_py(), separator, min_words):
+                for place, words, digest in unit_digests(value.as_py(), separator, min_words, sentence_words):
                     rows.append(i)
                     places.append(place)
+                    counts.append(words)
                     names.append(digest)
             at = pa.array(rows, pa.int32())
-            d1 = pa.array([int.from_bytes(n[:8], "little", signed=True) for n in names], pa.int64())
-            d2 = pa.array([int.from_bytes(n[8:], "little", signed=True) for n in names], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(places, pa.int32()), d1, d2], names=["doc_id", "key", "place", "d1", "d2"])
+            both = pa.array([int.from_bytes(n[k : k + 8], "little", signed=True) for k in (0, 8) for n in names], pa.int64())
+            columns = [b.column(0).take(at), b.column(1).take(at), pa.array(places, pa.int64()), pa.array(counts, pa.int32()), both[: len(names)], both[len(names) :]]
+            yield pa.RecordBatch.from_arrays(columns, names=[u.split()[0] for u in UNITS.split(", ")])
 
     return settle(own_rows(docs, text).mapInArrow(run, UNITS), "units")
 
 
-def removed_units(docs: DataFrame, separator: str = "\n", min_words: int = MIN_WORDS, text: str = "text") -> DataFrame:
-    """doc_id, key, places: of documents that lose units, which. Written out."""
-    units = name_units(docs, separator, min_words, text)
+def outermost(found: list[dict]) -> list[dict]:
+    """Units without the sentences of lines that are among them."""
+    lines = {u["place"] >> SENTENCE_BITS for u in found if not u["place"] & ((1 << SENTENCE_BITS) - 1)}
+    return [u for u in found if not u["place"] & ((1 << SENTENCE_BITS) - 1) or u["place"] >> SENTENCE_BITS not in lines]
+
+
+def repeated_units(docs: DataFrame, separator: str = "\n", min_words: int = MIN_WORDS, sentence_words: int = SENTENCE_WORDS, text: str = "text") -> DataFrame:
+    """doc_id, key, places (of the units that go), n_repeated, n_repeat_words: of documents with repeated units. Written out."""
+    units = name_units(docs, separator, min_words, sentence_words, text)
     first = units.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "key", "place")).alias("first")).filter("n > 1").drop("n")
     # a plain side of the join: AQE can split a line that a third of all documents hold
     met = units.join(settle(first, "units-first"), ["d1", "d2"])
-    later = met.filter(~F.struct("doc_id", "key", "place").eqNullSafe(F.col("first")))
-    return settle(later.groupBy(*ROW).agg(F.array_distinct(F.collect_list("place")).alias("places")), "units-removed")
+    gone = ~F.struct("doc_id", "key", "place").eqNullSafe(F.col("first"))
+    found = met.groupBy(*ROW).agg(F.collect_set(F.struct("place", "words", gone.alias("gone"))).alias("found"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            held = [(outermost([u for u in found if u["gone"]]), outermost(found)) for found in b.column(2).to_pylist()]
+            places = pa.array([sorted(u["place"] for u in out) for out, _ in held], pa.list_(pa.int64()))
+            counts = [pa.array([f(seen) for _, seen in held], pa.int64()) for f in (len, lambda seen: sum(u["words"] for u in seen))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), places, *counts], names=[*ROW, "places", "n_repeated", "n_repeat_words"])
+
+    return settle(found.mapInArrow(run, "doc_id long, key long, places array<long>, n_repeated long, n_repeat_words long"), "units-repeated")
 
 
 def cut_units(text: str, places: set[int], separator: str) -> tuple[str, list[tuple[int, int]]]:
-    """The text without the units at places, and their spans in it. Units are put together by the separator again."""
+    """The text without the units at places, and their spans in it. Lines are put together by the separator again."""
     kept, spans, at = [], [], 0
-    for i, unit in enumerate(text.split(separator)):
-        if i in places:
-            spans.append((at, at + len(unit)))
+    cut_lines = {p >> SENTENCE_BITS for p in places}
+    for i, line in enumerate(text.split(separator)):
+        if i << SENTENCE_BITS in places:
+            spans.append((at, at + len(line)))
+        elif i not in cut_lines:
+            kept.append(line)
         else:
-            kept.append(unit)
-        at += len(unit) + len(separator)
+            rest, pos = [], at
+            for j, part in enumerate(sentences(line), 1):
+                if i << SENTENCE_BITS | j in places:
+                    spans.append((pos, pos + len(part)))
+                else:
+                    rest.append(part)
+                pos += len(part)
+            kept.append("".join(rest))
+        at += len(line) + len(separator)
     return separator.join(kept), spans
 
 
-def dedup_units(docs: DataFrame, separator: str = "\n", min_words: int = MIN_WORDS, text: str = "text") -> DataFrame:
-    """doc_id, n_removed, spans (start:end, joined by commas) and kept (the text that stays) of every document."""
-    gone = removed_units(docs, separator, min_words, text).select(F.col("doc_id").alias("__doc"), F.col("key").alias("__key"), "places")
+def dedup_units(docs: DataFrame, separator: str = "\n", min_words: int = MIN_WORDS, sentence_words: int = SENTENCE_WORDS, text: str = "text", digests: bool = False) -> DataFrame:
+    """doc_id, n_removed, spans (start:end, joined by commas), n_repeated, n_repeat_words and kept (the text that stays) of every
+    document; digests: kept_chars and kept_sha256 in place of kept, so that whole texts aren't shuffled."""
+    found = repeated_units(docs, separator, min_words, sentence_words, text)
+    held = found.select(F.col("doc_id").alias("__doc"), F.col("key").alias("__key"), "places", "n_repeated", "n_repeat_words")
+    gone = held.filter(F.size("places") > 0)
     same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("key") == F.col("__key"))
+    out = {"kept_chars": pa.int64(), "kept_sha256": pa.string()} if digests else {"kept": pa.string()}
+    finish = (lambda kept: (len(kept), hashlib.sha256(kept.encode("utf-8", "replace")).hexdigest())) if digests else (lambda kept: (kept,))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for doc_id, value, places in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for doc_id, value, places, n, words in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 kept, spans = cut_units(value, set(places), separator)
-                rows.append((doc_id, len(spans), ",".join(f"{s}:{e}" for s, e in spans), kept))
-            cols = list(zip(*rows, strict=True)) or [()] * 4
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["doc_id", "n_removed", "spans", "kept"])
+                rows.append((doc_id, len(spans), ",".join(f"{s}:{e}" for s, e in spans), n, words, *finish(kept)))
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), *out.values())
+            cols = list(zip(*rows, strict=True)) or [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["doc_id", "n_removed", "spans", "n_repeated", "n_repeat_words", *out])
 
     touched = matching_rows(docs, gone.select(F.col("__key").alias("key")), text).join(gone, same)
-    changed = touched.select("doc_id", "text", "places").mapInArrow(run, "doc_id long, n_removed long, spans string, kept string")
-    light = own_rows(docs, text).join(gone.select("__doc", "__key"), same, "left_anti")
-    return light.select("doc_id", F.lit(0).cast("long").alias("n_removed"), F.lit("").alias("spans"), F.col("text").alias("kept")).unionByName(changed)
+    kinds = ", ".join(f"{c} {'long' if t == pa.int64() else 'string'}" for c, t in out.items())
+    changed = touched.select("doc_id", "text", "places", "n_repeated", "n_repeat_words").mapInArrow(run, f"doc_id long, n_removed long, spans string, n_repeated long, n_repeat_words long, {kinds}")
+    whole = [F.length("text").cast("long").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256")] if digests else [F.col("text").alias("kept")]
+    own = own_rows(docs, text).select("doc_id", "key", *whole).join(held, same, "left").filter(F.coalesce(F.size("places"), F.lit(0)) <= 0)
+    zero = F.lit(0).cast("long")
+    light = own.select("doc_id", zero.alias("n_removed"), F.lit("").alias("spans"), *[F.coalesce(c, zero).alias(c) for c in ("n_repeated", "n_repeat_words")], *out)
+    return light.unionByName(changed)
