@@ -177,6 +177,18 @@ def test_warc_round_trip(spark):
     assert read_warc(spark, write_warc(pages.filter("false"))).count() == 0
 
 
+def test_archives_are_read_by_several_tasks_that_split_files(spark, tmp_path):
+    """Some 300 MB in two files: more tasks than files, every record once."""
+    pages = spark.range(300).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.concat(F.col("id").cast("string"), F.repeat(F.md5(F.col("id").cast("string")), 32_000)).alias("html"))
+    manifest = write_warc(pages.coalesce(2), level=0)
+    sizes = [r["n_bytes"] for r in manifest.collect()]
+    assert len(sizes) == 2 and sum(sizes) > 300_000_000
+    got = read_warc(spark, manifest, payloads=False)
+    assert got.rdd.getNumPartitions() >= 9
+    tasks = got.select("page_id", F.spark_partition_id().alias("t")).collect()
+    assert sorted(r["page_id"] for r in tasks) == list(range(300)) and len({r["t"] for r in tasks}) >= 5
+
+
 # --- shingle join -----------------------------------------------------------------------------------------------------------
 
 

@@ -4,7 +4,7 @@ write_warc() names each payload by its SHA-1, makes the record with the largest
 the others revisits of it, and lets each task write its own files under names that no other attempt shares. Only files that
 the committed manifest names are ever read, so a lost executor or a repeated task leaves no doubled record.
 
-read_warc() deals out byte ranges. A task looks in its range for the gzip magic, accepts a candidate only if it decodes to a
+read_warc() deals out byte ranges, sized from the archives' bytes and the cluster's cores, a task each. A task looks in its range for the gzip magic, accepts a candidate only if it decodes to a
 WARC header, and owns the records that start inside its range; the last of them may end beyond it. From an accepted member
 on, the next one starts where it ends, so members aren't searched for again. A task holds one record and one read block.
 
@@ -31,6 +31,8 @@ from velograph.llm.shared import fresh_path, settle, whole_text
 
 MAGIC = b"\x1f\x8b\x08"
 BLOCK = 1 << 20
+#: Bytes of a range, least and most, and tasks of a read at most (a task takes several ranges then).
+SPLIT_LEAST, SPLIT_MOST, TASKS_MOST = 1 << 20, 32 << 20, 100_000
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANIFEST = "path string, n_bytes long, n_records long"
 RECORDS = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
@@ -160,8 +162,12 @@ def parse(record: bytes) -> tuple:
     return number(fields["warc-record-id"]), fields.get("warc-target-uri"), "response", None, len(payload), digest, payload
 
 
-def read_warc(spark: SparkSession, manifest: DataFrame, split_bytes: int = 32 << 20, payloads: bool = True) -> DataFrame:
-    """The records of the manifest's files (see RECORDS; payload left out if not wanted)."""
+def read_warc(spark: SparkSession, manifest: DataFrame, split_bytes: int | None = None, payloads: bool = True) -> DataFrame:
+    """The records of the manifest's files (see RECORDS; payload left out if not wanted). split_bytes: unless given, four ranges for
+    each core, between SPLIT_LEAST and SPLIT_MOST."""
+    if split_bytes is None:
+        total = manifest.agg(F.sum("n_bytes")).first()[0] or 0
+        split_bytes = min(SPLIT_MOST, max(SPLIT_LEAST, total // (4 * spark.sparkContext.defaultParallelism)))
     splits = manifest.filter("n_bytes > 0").select("path", "n_bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_bytes") - 1, F.lit(split_bytes).cast("long"))).alias("start"))
     schema = RECORDS if payloads else RECORDS.rsplit(",", 1)[0]
     types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary()][: 7 if payloads else 6]
@@ -184,4 +190,6 @@ def read_warc(spark: SparkSession, manifest: DataFrame, split_bytes: int = 32 <<
                 if rows:
                     yield batch_of(rows)
 
-    return splits.repartition(F.col("path"), F.col("start")).mapInArrow(run, schema)
+    # a stated number of tasks, which isn't merged again as the tiny rows of a shuffle would be
+    n = splits.count()
+    return splits.repartition(max(1, min(n, TASKS_MOST))).mapInArrow(run, schema)
