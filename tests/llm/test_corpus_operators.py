@@ -7,12 +7,13 @@ import random
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from velograph.llm import long_repeats, mixing, ngram_join, registry, words
-from velograph.llm.permutation_index import PermutationIndex, cosine
+from velograph.llm.permutation_index import PermutationIndex, cosine, matrix
 from velograph.llm.runindex import long_matches
 from velograph.llm.warc import Members, base32_sha1, compress, read_warc, record_bytes, write_warc
 
@@ -256,18 +257,36 @@ def test_neighbours_of_odd_tables(spark):
     assert PermutationIndex(spark.createDataFrame([], schema)).search(F.col("vec_id") % 50 == 0).count() == 0
 
 
-def test_recall(spark):
+@pytest.mark.parametrize("n", [6000, 24000])
+def test_recall(spark, n):
+    """At two sizes, of vectors without clusters; queries read a falling share of the rows."""
     r = np.random.default_rng(1)
-    v = r.normal(size=(6000, 32)).astype(np.float32)
-    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>")
-    got = {(x["query_id"], x["vec_id"]) for x in PermutationIndex(df).search(F.col("vec_id") % 100 == 0).collect()}
-    d = v.astype(float)
+    d = r.normal(size=(n, 48)).astype(np.float32).astype(float)
+    df = spark.createDataFrame(pa.table({"vec_id": pa.array(range(n), pa.int64()), "embedding": pa.array(list(d))}))
+    index = PermutationIndex(df)
+    asked = list(range(0, n, n // 60))
+    got = {(x["query_id"], x["vec_id"]): x["score"] for x in index.search(F.col("vec_id").isin(asked)).collect()}
+    assert len(got) == 5 * len(asked) and all(s == pytest.approx(float(cosine(d[q], d[v][None])[0]), abs=0) for (q, v), s in got.items())
     want = set()
-    for q in range(0, 6000, 100):
+    for q in asked:
         s = cosine(d[q], d)
         s[q] = -2
         want |= {(q, int(i)) for i in np.argsort(-s)[:5]}
-    assert len(got & want) >= 0.9 * len(want)
+    assert len(got.keys() & want) >= 0.9 * len(want)
+    reads = {x["query_id"]: set(x["probes"]) for x in index.asked(F.col("vec_id").isin(asked)).collect()}
+    posts = matrix(pa.array([x["posts"] for x in index.posted.select("posts").collect()]), int)
+    share = np.mean([np.isin(posts, list(x)).any(axis=1).mean() for x in reads.values()])
+    assert share < {6000: 1.0, 24000: 0.8}[n]
+
+
+def test_equal_vectors_return_their_least_ids(spark):
+    """Half of all rows are one vector: ties go to the smaller vec_id, whatever the order of rows."""
+    r = np.random.default_rng(2)
+    v = r.normal(size=(4001, 16)).astype(np.float32)
+    v[1::2], v[0] = v[1], v[1]
+    df = spark.createDataFrame(pa.table({"vec_id": pa.array(range(4001), pa.int64()), "embedding": pa.array(list(v.astype(float)))}))
+    got = PermutationIndex(df).search(F.col("vec_id").isin(0, 7)).orderBy("query_id", "rank").collect()
+    assert [x["vec_id"] for x in got] == [1, 3, 5, 7, 9, 0, 1, 3, 5, 9]
 
 
 def test_copies_and_dense_clusters_lose_no_neighbour(spark):
