@@ -229,6 +229,54 @@ def test_classes_equal_brute_force(spark, family, monkeypatch):
     assert kept == [i for i, (_, c) in enumerate(want) if c == i]
 
 
+def test_members_of_families_are_linked_as_by_all_pairs():
+    """Near copies, unlike sets with most of their tokens in common, and several families in one task."""
+    r = np.random.default_rng(3)
+    rare = np.zeros(1 << ngram_join.SKETCH_BITS, np.uint8)
+    draw = lambda n: r.integers(0, 1 << 48, n, dtype=np.uint64)
+    sets, family = [], []
+    for f in range(6):
+        common = [draw(60) for _ in range(2)]
+        for _ in range(40):
+            own = np.concatenate((common[r.integers(2)][: r.integers(30, 60)], draw(r.integers(1, 50))))
+            sets += [np.unique(own), np.unique(np.concatenate((own[r.integers(0, 8) :], draw(r.integers(0, 4)))))]
+            family += [f, f]
+    found = ngram_join.link_members(np.array(family), sets, rare)
+    assert all(ngram_join.similar(sets[a], sets[b]) and a < b for a, b in found)
+
+    def parts(pairs):
+        root = list(range(len(sets)))
+        top = lambda x: x if root[x] == x else top(root[x])
+        for a, b in pairs:
+            x, y = top(a), top(b)
+            root[max(x, y)] = min(x, y)
+        return [top(x) for x in root]
+
+    every = [(a, b) for b in range(len(sets)) for a in range(b) if family[a] == family[b] and 4 * (m := len(np.intersect1d(sets[a], sets[b]))) >= 3 * (len(sets[a]) + len(sets[b]) - m)]
+    assert parts(found) == parts(every) and 100 < len(found) == len(sets) - len(set(parts(every)))
+
+
+def test_unlike_sets_with_common_tokens_cost_their_prefix_hits(monkeypatch):
+    """Sixty of a hundred tokens are common, and counted as such: nothing is verified."""
+    r = np.random.default_rng(5)
+    rare = np.zeros(1 << ngram_join.SKETCH_BITS, np.uint8)
+    common = r.integers(0, 1 << 48, 60, dtype=np.uint64)
+    rare[(common >> np.uint64(48 - ngram_join.SKETCH_BITS)).astype(int)] = 24
+    sets = [np.unique(np.concatenate((common, r.integers(0, 1 << 48, 40, dtype=np.uint64)))) for _ in range(1500)]
+    tried = []
+    monkeypatch.setattr(ngram_join, "similar", lambda a, b: tried.append(1))
+    assert ngram_join.link_members(np.zeros(1500, int), sets, rare) == [] and len(tried) < 50
+
+
+def test_hot_tokens_are_salted_and_keep_all_sets(spark):
+    rows = [(40 << 56 | 5, s, 20, 0) for s in range(300)] + [(7, s, 20, 0) for s in range(3)]
+    df = spark.createDataFrame(rows, "token long, sid long, n int, i int")
+    got = ngram_join.buckets(df.union(df), hot=20).collect()
+    assert sorted(r["sid"] for r in got if r["token"] != 7) == list(range(300)) and sorted(r["sid"] for r in got if r["token"] == 7) == [0, 1, 2]
+    full = np.zeros(1 << ngram_join.SKETCH_BITS, np.uint8)
+    assert ngram_join.hot_step(full) == 18 and ngram_join.hot_step(full + 20) == 28
+
+
 def test_repeated_rows_and_missing_ids(spark):
     text = " ".join(f"x{i}" for i in range(30))
     df = spark.createDataFrame([(4, text, "a"), (4, text, "a"), (None, text, "a"), (4, "other words of this very row", "a"), (9, "", "a"), (9, "", "a")], DOCS)

@@ -9,13 +9,15 @@ from velograph.llm.shared import settle
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
-    """Each node's larger (large) or smaller neighbours are linked to the least of its neighbourhood."""
+    """Each node's larger (large) or smaller neighbours are linked to the least of its neighbourhood. The least ones are written out
+    first: a plain side of the join, so that AQE can split the hub of a large component."""
     if large:
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m"))
+        least = settle(least, "cc-least")
         out = both.filter("v > u").join(least, F.col("u") == F.col("c")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
-        least = edges.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), "m")
+        least = settle(edges.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), "m"), "cc-least")
         joined = edges.join(least, F.col("u") == F.col("c"))
         out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select(F.col("c").alias("u"), F.col("m").alias("v")))
     return out.filter("u > v").distinct()

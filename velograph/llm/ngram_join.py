@@ -5,14 +5,17 @@ of their prefixes under every order. Three orders are used: A by rarity (a count
 sets, then a mixed hash), B by hash ascending and C by hash descending. Order A deals prefix tokens out to buckets, in which
 candidates meet if their sizes and the token's places allow a similar pair (a pair's first common token always does); before
 verification a pair must also share prefix tokens under B and under C (a sorted set begins and ends
-with them).
+with them). Tokens whose cell of the sketch is far fuller than the mean are hot: their buckets are salted over tasks and passed on
+as they are, which costs rows and loses nothing.
 
 Equal sets are one node, so copies never meet as pairs. Buckets with the same members count once. Sets joined by shared
-buckets are a family. A small family travels to one task once, where only pairs of sets that aren't yet in one component
-are verified; no pair is emitted. A large family, such as a third of all documents, stays spread out: in each of ROUNDS
-rounds, every set is verified against one set of another component that it shares a bucket with, and the links are joined
-to components. Only pairs that are still in different components after that are made in full, so no link that could join
-two components is lost, and a group of near copies costs a few pairs for each member.
+buckets are a family. A small family travels to one task once. There an inverted index of the prefixes under A brings each
+set's candidates, B and C cut them down, and only candidates of another component are verified; a bucket whose members are
+all in the set's component isn't opened, and no pair is emitted. A large family, such as a third of all documents, stays spread
+out: in each of ROUNDS rounds, every set is verified against one set of another component that it shares a bucket with, and
+the links are joined to components. After that, in buckets that still hold several components, all sets but those of the
+largest one are paired with what their sizes and places allow, so no link that could join two components is lost, and a group
+of near copies costs a few pairs for each member.
 
 Texts are scanned and never shuffled. Sets are named by 64-bit digests; verification compares tokens by 48 bits. A null text, or one without words, has no
 shingles and no link; with fewer words than a shingle the whole sequence is one token; repeated rows are copies; a null
@@ -43,6 +46,8 @@ FAMILY_TOKENS, FAMILY_SETS = 4_000_000, 4096
 GROUP_TOKENS = 1_000_000
 #: A bucket of more sets is passed on in parts.
 LONG_RUN = 1 << 20
+#: Tokens of cells with so many counts, and HOT_TIMES the mean, are dealt out by SALTS parts.
+HOT_RUN, HOT_TIMES, SALTS = 512, 16, 64
 
 _U = np.uint64
 PLACE = mixed(np.arange(1001, 1001 + WORDS, dtype=_U)) | _U(1)
@@ -184,6 +189,17 @@ def sketch(docs: DataFrame, text: str = "text") -> np.ndarray:
     return out.ravel()
 
 
+def rarity_keys(tokens: np.ndarray, cells: np.ndarray, rare: np.ndarray) -> np.ndarray:
+    """Keys in order A: the step of a token's cell, then a hash of it."""
+    return (rare[cells.astype(np.int64)].astype(_U) << _U(56)) | (mixed(tokens) >> _U(8))
+
+
+def hot_step(rare: np.ndarray) -> int:
+    """The step from which a cell's tokens are hot."""
+    mean = float(np.exp2(rare / 2).mean())
+    return int(np.ceil(2 * np.log2(max(HOT_RUN, HOT_TIMES * mean))))
+
+
 def postings(docs: DataFrame, rarity: np.ndarray, text: str = "text") -> DataFrame:
     """(token, sid, n, i): prefix tokens under order A, as their keys in that order, with their places; a set that a task has
     met before is skipped."""
@@ -199,7 +215,7 @@ def postings(docs: DataFrame, rarity: np.ndarray, text: str = "text") -> DataFra
                         continue
                     seen.add(sid)
                     p = prefix_length(len(s))
-                    order = (rare[(s >> _U(64 - SKETCH_BITS)).astype(np.int64)].astype(_U) << _U(56)) | (mixed(s) >> _U(8))
+                    order = rarity_keys(s, s >> _U(64 - SKETCH_BITS), rare)
                     tokens.append(np.sort(np.partition(order, p - 1)[:p]))
                     at.append(np.arange(p, dtype=np.int32))
                     sids.append(sid)
@@ -228,14 +244,17 @@ def partnered(token: np.ndarray, n: np.ndarray, i: np.ndarray, length: np.ndarra
     return ok
 
 
-def buckets(posted: DataFrame) -> DataFrame:
+def buckets(posted: DataFrame, hot: int = 256) -> DataFrame:
     """Postings of tokens that two viable sets or more share, the first token for each list of members. Written out.
 
-    Rows come sorted by token, so a task holds one run at most beside its batch. A run that is passed on in parts is neither
-    pruned nor named by its members, as no part tells what the others hold.
+    Rows come sorted by token, so a task holds one run at most beside its batch. A run that is passed on in parts, and that of a
+    token from the step hot on, is neither pruned nor named by its members, as no part tells what the others hold.
     """
     names = ["token", "sid", "n", "i"]
 
+    def in_parts(token: np.ndarray, parted: list[int]) -> np.ndarray:
+        return np.isin(token, parted) | ((token.view(_U) >> _U(56)).astype(np.int64) >= hot)
+
     def judged(cols: list[np.ndarray], known: set[int], parted: list[int]) -> pa.RecordBatch | None:
         fresh = np.ones(len(cols[0]), bool)
         fresh[1:] = (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1])
@@ -247,10 +266,10 @@ def buckets(posted: DataFrame) -> DataFrame:
             starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
             length = np.diff(np.append(starts, len(token)))
             if turn == 0:
-                keep = partnered(token, cols[2], cols[3], length) | np.isin(token, parted)
+                keep = partnered(token, cols[2], cols[3], length) | in_parts(token, parted)
                 cols = [c[keep] for c in cols]
         sig = np.add.reduceat(mixed(cols[1].view(_U)), starts) ^ mixed(length.astype(_U))
-        good = np.isin(token[starts], parted)
+        good = in_parts(token[starts], parted)
         sig[good] = mixed(~mixed(token[starts][good].view(_U)))
         for r, key in enumerate(sig.tolist()):
             if key not in known:
@@ -279,7 +298,8 @@ def buckets(posted: DataFrame) -> DataFrame:
             yield out
 
     n = posted.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    local = posted.repartition(int(n), "token").sortWithinPartitions("token", "sid").mapInArrow(run, "token long, sid long, n int, i int, sig long")
+    salt = F.when(F.shiftrightunsigned("token", 56) >= hot, F.pmod(F.xxhash64("sid"), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))
+    local = posted.repartition(int(n), "token", salt).sortWithinPartitions("token", "sid").mapInArrow(run, "token long, sid long, n int, i int, sig long")
     local = settle(local, "ngram-local")
     first = local.groupBy("sig").agg(F.min("token").alias("first")).select("first").distinct()
     return settle(local.join(first, F.col("token") == F.col("first"), "left_semi").select(*names).distinct(), "ngram-buckets")
@@ -348,36 +368,80 @@ def families(bucket: DataFrame) -> DataFrame:
     return settle(named.join(size, F.col("family") == F.col("f")).select("sid", "family", group.alias("group")), "ngram-families")
 
 
-def link_families(sets: DataFrame) -> DataFrame:
+def link_members(family: np.ndarray, sets: list[np.ndarray], rare: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs (earlier, later) of similar sets that join the components of each family; members of a family stand together.
+
+    An inverted index of the sets' prefixes under A: runs of entries with one family and key, in order of their sets.
+    """
+    n = np.array([len(s) for s in sets], np.int64)
+    p = prefix_length(n)
+    keys = []
+    for s, k in zip(sets, p.tolist(), strict=True):
+        order = rarity_keys(s, s >> _U(48 - SKETCH_BITS), rare)
+        keys.append(np.sort(np.partition(order, k - 1)[:k]))
+    owner, place = np.repeat(np.arange(len(sets)), p), np.concatenate([np.arange(k) for k in p.tolist()])
+    keys = np.concatenate(keys)
+    order = np.lexsort((owner, keys, family[owner]))
+    owner, place, keys = owner[order], place[order], keys[order]
+    fresh = np.concatenate(([True], (keys[1:] != keys[:-1]) | (family[owner[1:]] != family[owner[:-1]])))
+    start = np.flatnonzero(fresh)
+    run = np.cumsum(fresh) - 1
+    held, mixed_up = owner[start], np.zeros(len(start), bool)
+    entries, ends = np.argsort(owner, kind="stable"), np.cumsum(p)
+    first = np.searchsorted(family, family)
+    label, out = np.arange(len(sets)), []
+
+    def link(x: int, found: np.ndarray) -> None:
+        """Verify x against those found that are of other components, the most often found first."""
+        found, times = np.unique(found, return_counts=True)
+        found = found[np.argsort(-times, kind="stable")]
+        found = found[label[found] != label[x]]
+        while len(found):
+            y = int(found[0])
+            if similar(sets[x], sets[y]):
+                out.append((y, x))
+                part = label[first[x] : x + 1]
+                part[part == max(label[x], label[y])] = min(label[x], label[y])
+                found = found[label[found] != label[x]]
+            else:
+                found = found[1:]
+
+    for x in range(len(sets)):
+        at = entries[ends[x] - p[x] : ends[x]]
+        at = at[at > start[run[at]]]
+        if not len(at):
+            continue
+        link(x, owner[at - 1])
+        shut = ~mixed_up[run[at]] & (label[held[run[at]]] == label[x])
+        if not shut.all():
+            ours = at[~shut]
+            begin = start[run[ours]]
+            length = ours - begin
+            each = np.repeat(np.arange(len(ours)), length)
+            there = begin[each] + np.arange(len(each)) - np.repeat(np.cumsum(length) - length, length)
+            fits = viable(n[x], place[ours][each], n[owner[there]], place[there])
+            link(x, owner[there[fits]])
+            mixed_up[run[ours]] |= label[held[run[ours]]] != label[x]
+    return out
+
+
+def link_families(sets: DataFrame, rarity: np.ndarray) -> DataFrame:
     """Links (a, b) that join the components of small families; sets: sid, tokens, family, group. Written out."""
+    held = sets.sparkSession.sparkContext.broadcast(rarity)
 
     def run(table: pa.Table) -> pa.Table:
         order = table.sort_by([("family", "ascending"), ("sid", "ascending")])
-        family, sid = np.asarray(order["family"]), np.asarray(order["sid"])
-        tokens = [unpack(x) for x in order["tokens"].to_pylist()]
-        starts = np.flatnonzero(np.concatenate(([True], family[1:] != family[:-1])))
-        root, out = list(range(len(sid))), []
-
-        def top(x: int) -> int:
-            while root[x] != x:
-                root[x] = x = root[root[x]]
-            return x
-
-        for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(sid)], strict=True):
-            for x in range(s, e):
-                for y in range(s, x):
-                    a, b = top(x), top(y)
-                    if a != b and similar(tokens[x], tokens[y]):
-                        root[max(a, b)] = min(a, b)
-                        out.append((int(sid[y]), int(sid[x])))
-        cols = list(zip(*out, strict=True)) or [(), ()]
-        return pa.table([pa.array(c, pa.int64()) for c in cols], names=["a", "b"])
+        sid = np.asarray(order["sid"])
+        _, family = np.unique(np.asarray(order["family"]), return_inverse=True)
+        pairs = np.array(link_members(family, [unpack(x) for x in order["tokens"].to_pylist()], held.value), np.int64).reshape(-1, 2)
+        return pa.table([pa.array(sid[pairs[:, k]], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     return settle(sets.groupBy("group").applyInArrow(run, "a long, b long"), "ngram-links")
 
 
 def link_hubs(bucket: DataFrame, sets: DataFrame) -> DataFrame:
-    """The same for large families: rounds of one pair for each set, then all pairs between what are still several components."""
+    """The same for large families: rounds of one pair for each set, then, in buckets that still hold several components, all sets
+    but those of the largest one against what is viable. The sides of that join are written out, so that AQE can split a hot token."""
     spark = bucket.sparkSession
     links, tried, roots = spark.createDataFrame([], "a long, b long"), spark.createDataFrame([], "a long, b long"), None
     fits = lambda *x: viable(*(F.col(c).cast("long") for c in x), least=F.least)
@@ -391,9 +455,12 @@ def link_hubs(bucket: DataFrame, sets: DataFrame) -> DataFrame:
             met = bucket.join(settle(hubs, "ngram-hubs"), "token").filter((F.col("root") != F.col("hub.root")) & fits("n", "i", "hub.n", "hub.i"))
             pairs = met.groupBy("sid").agg(F.min("hub").alias("hub")).select(F.least("sid", "hub.sid").alias("a"), F.greatest("sid", "hub.sid").alias("b"))
         else:
+            sizes = bucket.groupBy("token", "root").agg(F.count(F.lit(1)).alias("m"))
+            main = settle(sizes.groupBy("token").agg(F.max_by("root", F.struct("m", "root")).alias("main")), "ngram-main")
+            minor = settle(bucket.join(main, "token").filter("root <> main").drop("main"), "ngram-minor")
             other = bucket.select("token", F.col("sid").alias("sid2"), F.col("n").alias("n2"), F.col("i").alias("i2"), F.col("root").alias("root2"))
-            met = bucket.join(other, "token").filter((F.col("sid") < F.col("sid2")) & (F.col("root") != F.col("root2")) & fits("n", "i", "n2", "i2"))
-            pairs = met.select(F.col("sid").alias("a"), F.col("sid2").alias("b"))
+            met = minor.join(other, "token").filter((F.col("root") != F.col("root2")) & fits("n", "i", "n2", "i2"))
+            pairs = met.select(F.least("sid", "sid2").alias("a"), F.greatest("sid", "sid2").alias("b"))
         fresh = settle(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "ngram-pairs")
         tried = tried.union(fresh)
         links = links.union(verify(fresh, sets))
@@ -404,11 +471,12 @@ def link_hubs(bucket: DataFrame, sets: DataFrame) -> DataFrame:
 def link(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """name_sets(docs), verified links (a, b) that join the components of sets, and (node, root) of sets in a component of several."""
     named = name_sets(docs, text)
-    bucket = buckets(postings(docs, sketch(docs, text), text))
+    rarity = sketch(docs, text)
+    bucket = buckets(postings(docs, rarity, text), hot_step(rarity))
     if bucket.isEmpty():
         return named, docs.sparkSession.createDataFrame([], "a long, b long"), None
     family = families(bucket)
-    links = link_families(fetch_sets(docs, family.filter("group IS NOT NULL"), text))
+    links = link_families(fetch_sets(docs, family.filter("group IS NOT NULL"), text), rarity)
     large = family.filter("group IS NULL").select("sid")
     if not large.isEmpty():
         sets = settle(fetch_sets(docs, large, text), "ngram-tokens")
@@ -431,8 +499,9 @@ def keep_one(docs: DataFrame, text: str = "text") -> DataFrame:
     found = settle(classes(docs, text), "ngram-classes")
     first = found.filter("root IS NOT NULL").groupBy("root").agg(F.min(F.struct("doc_id", "key")).alias("k")).select("k.doc_id", "k.key")
     stay = first.union(found.filter("root IS NULL").select("doc_id", "key")).distinct().select(F.col("doc_id").alias("__doc"), F.col("key").alias("__key"))
-    keyed = docs.withColumn("__own", F.xxhash64(whole_text(text)))
-    kept = keyed.join(settle(stay, "ngram-stay"), F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.col("__own") == F.col("__key")), "left_semi")
+    # the row travels as one column, so that no other name can clash with its own
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(whole_text(text)).alias("own"))
+    kept = keyed.join(settle(stay, "ngram-stay"), F.col("id").eqNullSafe(F.col("__doc")) & (F.col("own") == F.col("__key")), "left_semi")
     if not found.groupBy("doc_id", "key").count().filter("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id", "__own"])
-    return kept.select(*docs.columns)
+        kept = kept.dropDuplicates(["id", "own"])
+    return kept.select("row.*")
