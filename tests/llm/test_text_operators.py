@@ -64,7 +64,7 @@ def brute_repeats(words):
 
 def test_quality_figures_and_verdict(spark):
     r = random.Random(1)
-    texts = ["", None, " ", "w\n" * 50, "a b c d e f g h i\n\na b c d e f g h i", "# $ % word", "é" * 9000, " ".join(r.choice("ab") for _ in range(400)), " ".join("clean words of prose number".split() * 2 + [str(i) for i in range(60)])]
+    texts = ["", None, " ", "w\n" * 50, "a b c d e f g h i\n\na b c d e f g h i", "# $ % word", "é" * 9000, " ".join(r.choice("ab") for _ in range(400)), " ".join("clean words of prose number".split() * 2 + [f"n{i}" for i in range(60)])]
     measured = quality.measure(docs(spark, texts))
     order = quality.plan_cascade(measured)
     rows = {x["doc_id"]: x for x in quality.cascade(measured, order).collect()}
@@ -77,6 +77,29 @@ def test_quality_figures_and_verdict(spark):
     assert rows[8]["kept"] and rows[0]["rejected_by"] == "base" and {o["rule"].name for o in order} == {x.name for x in quality.RULES}
 
 
+def test_a_rule_runs_only_where_none_before_it_has_rejected(spark):
+    """A rule that fails wherever it is evaluated, behind one that rejects all, and behind the base test."""
+    never = quality.Rule("never", "raise_error('evaluated') IS NULL")
+    measured = quality.measure(docs(spark, ["a b c d e f g h i j k l m n o p q r s t u v w x"] * 3))
+    first = quality.Rule("first", "length({text}) > 0")
+    order = [{"rule": x, "cost": 1.0, "rejection": 0.0} for x in (first, never)]
+    assert {x["rejected_by"] for x in quality.cascade(measured, order).collect()} == {"first"}
+    short = quality.measure(docs(spark, ["too short", None]))
+    assert {x["rejected_by"] for x in quality.cascade(short, order[::-1]).collect()} == {"base"}
+    with pytest.raises(Exception, match="evaluated"):
+        quality.cascade(measured, order[::-1]).collect()
+
+
+def test_costly_rules_that_reject_nothing_come_last(spark):
+    r = random.Random(6)
+    texts = [" ".join(r.choice(["alpha", "beta", "gamma"]) + str(r.randrange(999)) for _ in range(400)) for _ in range(40)]
+    costly = quality.Rule("costly", "length(regexp_replace(lower({text}), '([a-z])([a-z]*)([0-9]+)', '$3$2$1')) < 0")
+    cheap = quality.Rule("cheap", "n_words > 100")
+    plan = quality.plan_cascade(quality.measure(docs(spark, texts)), (costly, cheap))
+    by = {x["rule"].name: x for x in plan}
+    assert [x["rule"].name for x in plan] == ["cheap", "costly"] and by["costly"]["cost"] > by["cheap"]["cost"] and by["cheap"]["rejection"] == 1.0
+
+
 def test_quality_order_never_changes_the_verdict(spark):
     measured = quality.measure(docs(spark, ["x | y | z | q " * 9 + "u v w k l m n o p", "one two three " * 3 + " ".join(map(str, range(40)))]))
     plans = [[{"rule": r, "cost": 1.0, "rejection": 0.0} for r in rules] for rules in (quality.RULES, quality.RULES[::-1])]
@@ -117,6 +140,40 @@ def test_disclosing_terms_are_found_and_replaced(spark):
     assert pii.sanitise(docs(spark, [])).count() == 0 and pii.find(docs(spark, ["nothing here"])).first()["terms"] == []
 
 
+def test_disclosure_equals_brute_force(spark):
+    """PMI over information content of every term near every entity, by plain counts."""
+    import math
+
+    r = random.Random(13)
+    names, mails = [f"name{chr(97 + i)}" for i in range(8)], [f"u{i}@corp.example" for i in range(5)]
+    texts = []
+    for _ in range(160):
+        i = r.randrange(5)
+        words = ["we", "wrote", r.choice(["report", "letter"]), names[i] if r.random() < 0.9 else r.choice(names)]
+        texts.append(f"{' '.join(words)} {mails[i] if r.random() < 0.8 else ''} {' '.join(r.choice(names[4:] + ['meadow', 'river']) for _ in range(2))}")
+    near, has, entity, n = {}, {}, {}, len(texts)
+    for t in texts:
+        terms = set(pii.TERM.findall(re.sub(PATTERNS[0], " ", t).lower()))
+        # a mention's own letters stand in the text, too
+        for w in set(x.lower() for x in pii.TERM.findall(t)):
+            has[w] = has.get(w, 0) + 1
+        for m in {m[0] for m in re.finditer(PATTERNS[0], t)}:
+            entity[m] = entity.get(m, 0) + 1
+            for w in terms:
+                near[m, w] = near.get((m, w), 0) + 1
+    want = {}
+    for (m, w), c in near.items():
+        share = math.log(n * c / (has[w] * entity[m])) / math.log(n / entity[m])
+        if c >= pii.SUPPORT and share >= pii.GENERALISE:
+            want[w] = max(want.get(w, 0.0), share)
+    df = docs(spark, texts)
+    got = pii.disclosures(pii.scan(df), df)
+    assert got is not None and want
+    assert {x["term"]: pytest.approx(x["disclosure"]) for x in got[0].collect()} == want
+    for x in pii.find(df).collect():
+        assert [(y["start"], y["end"]) for y in x["terms"]] == [m.span() for m in pii.TERM.finditer(texts[x["doc_id"]]) if m[0].lower() in want]
+
+
 def test_overlapping_spans_become_one():
     t = "call +48 123 456 789 now"
     assert pii.redact(t, "card:6:20,phone:5:20", []) == "call [PHONE] now"

@@ -7,7 +7,7 @@ sequence of epochs, each its own pseudo-random permutation of the source's docum
 source, the documents whose first token lies in its b-th quota, and is itself a permutation of them.
 
 A document weighs its words, one at least, so that blocks are bounded. Positions come from two levels of prefix sums
-(hash buckets, then rows of a bucket), so no task sees a whole source. Only scalars reach the driver. With a budget, a
+(hash buckets of some BUCKET_ROWS rows, then rows of a bucket), so no task sees a whole source. Only scalars reach the driver. With a budget, a
 copy is kept if it ends within its source's tokens; without one the budget is the least that holds every document once.
 
 A null source is a source of its own, a null text or doc_id is allowed, ties of the permutation fall to doc_id and tokens
@@ -26,8 +26,8 @@ from velograph.llm.shared import settle, whole_text
 
 #: Bits of the exponent, and how many of them one pass over the source table settles.
 BITS, BITS_A_PASS = 30, 5
-#: Hexadecimal digits of the bucket of a permutation's hash.
-BUCKET_DIGITS = 3
+#: Rows of the largest source that share a bucket of a permutation's hash, or fewer; a bucket is a number of its hexadecimal digits.
+BUCKET_ROWS = 50_000
 OWN = ("tokens", "epoch", "block", "place")
 
 
@@ -37,8 +37,13 @@ def token_count(text: str = "text") -> Column:
 
 
 def source_table(docs: DataFrame) -> DataFrame:
-    """(source, source_tokens), written out, so that its size is known to the planner."""
-    return settle(docs.groupBy("source").agg(F.sum("tokens").alias("source_tokens")), "mix-sources")
+    """(source, source_tokens, source_rows), written out, so that its size is known to the planner."""
+    return settle(docs.groupBy("source").agg(F.sum("tokens").alias("source_tokens"), F.count(F.lit(1)).alias("source_rows")), "mix-sources")
+
+
+def bucket_digits(rows: int) -> int:
+    """Hexadecimal digits that deal rows out to buckets of BUCKET_ROWS."""
+    return max(1, math.ceil(math.log(max(rows, 1) / BUCKET_ROWS, 16)))
 
 
 def _grid(sources: DataFrame, total: int, budget: float, places: list[int]) -> dict[int, tuple[float, float]]:
@@ -98,11 +103,12 @@ def mix(docs: DataFrame, block_tokens: int = 1_000_000, budget_share: float | No
     """
     if clash := set(OWN) & set(docs.columns):
         raise ValueError(f"columns in the way: {sorted(clash)}")
-    docs = docs.withColumn("tokens", token_count() if tokens is None else tokens)
+    # the row travels as one column, so that no other name can clash with what is computed here
+    docs = docs.select(F.struct(*docs.columns).alias("__row"), "source", "doc_id", (token_count() if tokens is None else tokens).alias("tokens"))
     sources = source_table(docs)
-    total, n = sources.agg(F.sum("source_tokens"), F.count(F.lit(1))).first()
+    total, n, most = sources.agg(F.sum("source_tokens"), F.count(F.lit(1)), F.max("source_rows")).first()
     if not n:
-        return docs.select("*", F.lit(0).alias("epoch"), F.lit(0).cast("long").alias("block"), F.lit(0).cast("long").alias("place")).limit(0)
+        return docs.select("__row.*", "tokens", F.lit(0).alias("epoch"), F.lit(0).cast("long").alias("block"), F.lit(0).cast("long").alias("place")).limit(0)
     budget = None if budget_share is None else float(round(budget_share * total))
     exponent = solve_exponent(sources, total, budget, None if entropy_share is None else entropy_share * math.log(n), max_repeats)
     weighed = settle(weigh(sources, total, exponent, block_tokens, budget).select(F.col("source").alias("__source"), "source_tokens", "target", "quota"), "mix-weights")
@@ -110,7 +116,7 @@ def mix(docs: DataFrame, block_tokens: int = 1_000_000, budget_share: float | No
     last = F.floor((F.col("target") - 1) / F.col("source_tokens")).cast("int")
     rows = rows.filter("target > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), last)))
     rows = rows.withColumn("__hash", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("epoch").cast("string"), F.col("doc_id").cast("string")).cast("binary")))
-    rows = rows.withColumn("__bucket", F.substring("__hash", 1, BUCKET_DIGITS))
+    rows = rows.withColumn("__bucket", F.substring("__hash", 1, bucket_digits(most)))
     key = ["source", "epoch", "__bucket"]
     ahead = F.sum("__sum").over(W.partitionBy("source", "epoch").orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1))
     sized = rows.groupBy(*key).agg(F.sum("tokens").alias("__sum")).select(*[F.col(k).alias(f"{k}_r") for k in key], F.coalesce(ahead, F.lit(0)).alias("__ahead"))
@@ -120,7 +126,12 @@ def mix(docs: DataFrame, block_tokens: int = 1_000_000, budget_share: float | No
     rows = rows.filter(F.col("__at") + F.col("tokens") <= F.col("target")).withColumn("block", F.floor(F.col("__at") / F.col("quota")).cast("long"))
     shuffled = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("block").cast("string"), F.col("epoch").cast("string"), F.col("doc_id").cast("string")).cast("binary"))
     place = F.row_number().over(W.partitionBy("block").orderBy("__order", "source", "doc_id", "tokens")).cast("long") - 1
-    return rows.withColumn("__order", shuffled).withColumn("place", place).select(*docs.columns, "epoch", "block", "place")
+    return rows.withColumn("__order", shuffled).withColumn("place", place).select("__row.*", "tokens", "epoch", "block", "place")
+
+
+def in_stream_order(mixed: DataFrame) -> DataFrame:
+    """mix()'s rows dealt out by ranges of (block, place) and sorted, so that files written from it follow the stream."""
+    return mixed.repartitionByRange("block", "place").sortWithinPartitions("block", "place")
 
 
 def oracle(block_tokens: int, budget_share: float, entropy_share: float, max_repeats: float, seed: int) -> str:

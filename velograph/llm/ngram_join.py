@@ -495,7 +495,7 @@ def classes(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def keep_one(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with one document of each component: that of the least (doc_id, key), nulls first. Documents without shingles
-    stay; rows equal in doc_id and text become one."""
+    stay; of rows equal in doc_id and text, that whose other columns come first as JSON."""
     found = settle(classes(docs, text), "ngram-classes")
     first = found.filter("root IS NOT NULL").groupBy("root").agg(F.min(F.struct("doc_id", "key")).alias("k")).select("k.doc_id", "k.key")
     stay = first.union(found.filter("root IS NULL").select("doc_id", "key")).distinct().select(F.col("doc_id").alias("__doc"), F.col("key").alias("__key"))
@@ -503,5 +503,6 @@ def keep_one(docs: DataFrame, text: str = "text") -> DataFrame:
     keyed = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(whole_text(text)).alias("own"))
     kept = keyed.join(settle(stay, "ngram-stay"), F.col("id").eqNullSafe(F.col("__doc")) & (F.col("own") == F.col("__key")), "left_semi")
     if not found.groupBy("doc_id", "key").count().filter("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["id", "own"])
+        rest = F.to_json(F.struct(*[F.col("row")[c].alias(c) for c in docs.columns if c != text]), {"ignoreNullFields": "false"})
+        kept = kept.groupBy("id", "own").agg(F.min_by("row", rest).alias("row"))
     return kept.select("row.*")

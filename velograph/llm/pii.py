@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velograph.llm.shared import bit_table, settle, whole_text
+from velograph.llm.shared import bit_table, free_name, settle, whole_text
 
 KINDS = ("email", "ip", "card", "phone", "term")
 CONTEXT, SUPPORT, GENERALISE, REMOVE = 60, 3, 0.8, 0.95
@@ -221,8 +221,9 @@ def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with the text sanitised, all other columns as they were; texts with nothing to change keep their null."""
     found = find(docs, text).filter("base <> '' OR size(terms) > 0")
     hits = settle(found.dropDuplicates(["doc_id", "key"]).select(F.col("doc_id").alias("__doc"), F.col("key").alias("__key"), "base", "terms"), "pii-found")
-    keyed = docs.withColumns({"__k": text_key(text)})
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.col("__k") == F.col("__key"))
+    # the row travels as one column, so that no other name can clash with what joins it
+    keyed = docs.select(F.struct(*docs.columns).alias("__row"), F.col("doc_id").cast("long").alias("__id"), text_key(text).alias("__k"))
+    same = F.col("__id").eqNullSafe(F.col("__doc")) & (F.col("__k") == F.col("__key"))
     names = docs.columns
     at = names.index(text)
 
@@ -233,4 +234,5 @@ def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
             columns[at] = pa.array(fresh, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return keyed.join(hits, same, "left").select(*[docs[c] for c in names], F.col("base").alias("__base"), F.col("terms").alias("__terms")).mapInArrow(run, docs.schema)
+    joined = keyed.join(hits, same, "left").select("__row.*", F.col("base").alias(free_name("base", names)), F.col("terms").alias(free_name("terms", names)))
+    return joined.mapInArrow(run, docs.schema)

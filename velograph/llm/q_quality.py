@@ -25,13 +25,14 @@ hit AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc
 rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM hit) GROUP BY doc_id),
 m AS (SELECT w.doc_id, w.text, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
              (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
-             (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, len(ls) AS n_lines,
+             (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, len(ls) AS n_lines, len(list_filter(ws, lambda w: NOT regexp_matches(w, '\p{L}'))) AS n_bare,
+             length(text) - length(regexp_replace(text, '[.!?]', '', 'g')) AS n_marks,
              coalesce(rep.n, 0)::BIGINT AS n_repeat_words
       FROM w LEFT JOIN rep USING (doc_id)),
 b AS (SELECT *, (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT (base_failed OR 100 * n_symbols > 10 * word_chars OR word_chars > 100 * n_words
-            OR (n_lines >= 4 AND 100 * n_dup_lines > 60 * n_lines) OR 2 * word_chars < 3 * n_words) AS kept
+       NOT (base_failed OR 10 * n_bare > 3 * n_words OR 10 * n_marks > 6 * n_words OR 100 * n_symbols > 10 * word_chars
+            OR word_chars > 12 * n_words OR 2 * word_chars < 5 * n_words OR (n_lines >= 4 AND 100 * n_dup_lines > 30 * n_lines)) AS kept
 FROM b
 """
 

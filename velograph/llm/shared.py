@@ -74,8 +74,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def sql_literal(text: str) -> str:
-    return "'" + text.replace("'", "''") + "'"
+def free_name(name: str, taken: list[str]) -> str:
+    """The name, with underscores until it isn't taken (names are compared without case)."""
+    known = {t.lower() for t in taken}
+    while name.lower() in known:
+        name += "_"
+    return name
 
 
 def bit_table(rows: DataFrame, place: Column, bits: int) -> bytes:

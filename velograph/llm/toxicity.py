@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -27,9 +28,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from velograph.llm.shared import settle, whole_text
+from velograph.llm.shared import bit_table, settle, whole_text
 
 SAMPLE_ROWS, FEATURES, GRAMS = 12_000, 400, (5, 6)
+#: Bits of the table of names that are common among toxic rows, as a power of two.
+TABLE_BITS = 22
 #: Letters of the character model, after the word boundary at 0; other letters share the last place.
 LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
 SIDE = 64
@@ -150,10 +153,23 @@ def marked(lower: str) -> set[str]:
     return found
 
 
+class Listed:
+    """Names whose bit is set, each standing for itself."""
+
+    def __init__(self, bits: bytes):
+        self.bits = bits
+
+    def __contains__(self, name: str) -> bool:
+        return bool(self.bits[zlib.crc32(name.encode("utf-8")) & ((1 << TABLE_BITS) - 1)])
+
+    def __getitem__(self, name: str) -> str:
+        return name
+
+
 class Reader:
     """The features of a text, through bounded caches."""
 
-    def __init__(self, decoder: Decoder, features: dict[str, int] | None = None, limit: int = 200_000):
+    def __init__(self, decoder: Decoder, features: dict[str, int] | Listed | None = None, limit: int = 200_000):
         self.decoder, self.features, self.limit = decoder, features, limit
         self.words: dict[str, tuple] = {}
         self.tokens: dict[str, tuple] = {}
@@ -219,7 +235,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text") -> Model:
     known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").filter(~is_held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     # at most SAMPLE_ROWS ids and labels
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS).select(F.col("doc_id").alias("__doc"), F.col("toxic").cast("int").alias("toxic"))
-    sample = docs.join(F.broadcast(settle(picked, "toxic-ids")), F.col("doc_id") == F.col("__doc")).select("toxic", whole_text(text).alias("text"))
+    rows = docs.select(F.col("doc_id").alias("__id"), whole_text(text).alias("text"))
+    sample = rows.join(F.broadcast(settle(picked, "toxic-ids")), F.col("__id") == F.col("__doc")).select("toxic", "text")
     sample = settle(sample.repartition(4 * spark.sparkContext.defaultParallelism), "toxic-sample")
     model = spark.sparkContext.broadcast(counts)
 
@@ -236,27 +253,24 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text") -> Model:
     if not n1 or not n0:
         return Model(counts, {}, np.zeros(0), -math.inf)
     common = settle(sample.mapInArrow(count, "name string, n1 long").groupBy("name").agg(F.sum("n1").alias("n1")).filter(F.col("n1") >= max(3, n1 // 400)), "toxic-names")
-    # the features that most exceed what they would be without a bond to the label; counts of the others need one more pass
-    top = common.orderBy(F.desc("n1"), "name").limit(200_000).collect()
-    names = {r["name"]: i for i, r in enumerate(top)}
-    listed = spark.sparkContext.broadcast(names)
+    # counts of the other rows need one more pass; a table of fixed size tells which names may be common, the join tells which are
+    listed = spark.sparkContext.broadcast(np.unpackbits(np.frombuffer(bit_table(common, F.crc32(F.encode("name", "UTF-8")), TABLE_BITS), np.uint8), bitorder="little").tobytes())
 
     def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, total = Reader(Decoder(model.value), listed.value), np.zeros(len(listed.value), np.int64)
+        reader, total = Reader(Decoder(model.value), Listed(listed.value)), Counter()
         for batch in batches:
             for toxic, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if toxic <= 0:
-                    total[list(reader.read(value))] += 1
-        found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(total[found], pa.int64())], names=["i", "n0"])
-
-    a, b = np.array([r["n1"] for r in top], float), np.zeros(len(top))
-    for r in sample.mapInArrow(others, "i long, n0 long").groupBy("i").agg(F.sum("n0").alias("n0")).collect():
-        b[r["i"]] = r["n0"]
-    expected = (a + b) * n1 / (n1 + n0)
-    gain = np.where(a > expected, a * np.log(a / expected) + np.where(b > 0, b * np.log(np.maximum(b, 1) / np.maximum((a + b) * n0 / (n1 + n0), 1e-9)), 0), 0)
-    best = [int(i) for i in np.lexsort((np.arange(len(top)), -gain))[:FEATURES] if gain[i] > 6]
-    features = {top[i]["name"]: k for k, i in enumerate(best)}
+                    total.update(reader.read(value))
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["name", "n0"])
+
+    rest = sample.mapInArrow(others, "name string, n0 long").groupBy(F.col("name").alias("__name")).agg(F.sum("n0").alias("n0"))
+    both = common.join(rest, F.col("name") == F.col("__name"), "left").select("name", F.col("n1").cast("double").alias("a"), F.coalesce("n0", F.lit(0)).cast("double").alias("b"))
+    # the features that most exceed what they would be without a bond to the label
+    a, b, share = F.col("a"), F.col("b"), n1 / (n1 + n0)
+    gain = a * F.log(a / ((a + b) * share)) + F.when(b > 0, b * F.log(b / ((a + b) * (1 - share)))).otherwise(0.0)
+    best = both.filter(a > (a + b) * share).withColumn("gain", gain).filter("gain > 6").orderBy(F.desc("gain"), F.desc("a"), "name").limit(FEATURES).collect()
+    features = {r["name"]: k for k, r in enumerate(best)}
     held = spark.sparkContext.broadcast(features)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
