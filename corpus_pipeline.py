@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from velograph.llm.bpe import tokenize
-from velograph.llm.mixing import mix
+from velograph.llm.mixing import in_stream_order, mix
 from velograph.llm.ngram_join import keep_one
 from velograph.llm.pii import sanitise
 from velograph.llm.q_bpe import vocabulary_path
-from velograph.llm.shared import read_table, settle
+from velograph.llm.shared import drop_folder, fresh_path, read_table, working_tables
 from velograph.llm.toxicity import reject
 
 
@@ -29,8 +29,8 @@ def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Small sources are repeated, up to one and a half times; every document stays at least once."""
-    return mix(docs, max_repeats=1.5).select(*docs.columns)
+    """Small sources are repeated, up to one and a half times; every document stays at least once. Rows are written in the stream's order."""
+    return in_stream_order(mix(docs, max_repeats=1.5)).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,9 +48,16 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    """The last stage's rows. What a stage has written along its way, and the stage before it, are deleted once it is written."""
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = settle(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = fresh_path(spark, f"stage-{name}")
+        with working_tables(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        if before is not None:
+            drop_folder(spark, before)
+        docs, before = spark.read.schema(out.schema).parquet(path), path
     return docs
 
 
