@@ -56,8 +56,8 @@ BYTES, WORDS = Window(400, 128, "u1"), Window(50, 16, "<u4")
 #: Windows of a segment.
 MOST = 4096
 #: Symbols of a text or of several texts hashed at once; places within them fit PLACE_BITS.
-PIECE, PLACE_BITS = 2 << 20, 22
-SHARD_BYTES, HOT, TABLE_BITS = 1_000_000, 1536, 24
+PIECE, PLACE_BITS = 1 << 20, 22
+SHARD_BYTES, HOT, TABLE_BITS = 400_000, 1536, 24
 
 _U = np.uint64
 _ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3]

@@ -29,19 +29,19 @@ class RunIndex:
         short = np.flatnonzero(self.left < per)
         key[short] |= np.uint64(0xFFFFFFFFFFFFFFFF) >> (self.left[short].astype(np.uint64) * bits)
         order = np.argsort(key)
-        rank, tied = self.ranked(key[order], order, np.zeros(n, np.int64))
-        self.levels: list[tuple[int, np.ndarray]] = [(per, rank.astype(np.int32))]
+        rank, tied = self.ranked(key[order], order, np.zeros(n, np.int32))
+        self.levels: list[tuple[int, np.ndarray]] = [(per, rank)]
         h, longest = per, int(self.left.max(initial=0))
         while h < longest:
             # only suffixes that are still tied are sorted on, by the rank of what follows their first h bytes
             going = self.left[tied] >= h
             second = np.zeros(len(tied), np.int64)
             second[going] = rank[tied[going] + h] + 1
-            key = rank[tied] * (n + 2) + second
+            key = rank[tied].astype(np.int64) * (n + 2) + second
             order = np.argsort(key)
             rank, tied = self.ranked(key[order], tied[order], rank)
             h *= 2
-            self.levels.append((h, rank.astype(np.int32)))
+            self.levels.append((h, rank))
         order = self.order = np.argsort(rank, kind="stable")
         before = t[order - 1]  # end at the first of a string: its predecessor is a separator, or for the very first the last one
         change = np.concatenate(([True], (before[1:] != before[:-1]) | (before[1:] == end), [True]))
@@ -78,12 +78,12 @@ class RunIndex:
         """Of every position, the common prefix with the neighbour row, from samples at rows alone."""
         other = rows + step
         inside = (other >= 0) & (other < self.n)
-        value, at = np.zeros(self.n, np.int64), np.zeros(self.n, np.int64)
+        value, at = np.zeros(self.n, np.int32), np.zeros(self.n, np.int32)
         own = self.order[rows]
         value[own[inside]] = self.common(self.order[rows[inside]], self.order[other[inside]])
         at[own] = own
         last = np.maximum.accumulate(at)
-        return value[last] - (np.arange(self.n) - last)
+        return value[last] - (np.arange(self.n, dtype=np.int32) - last)
 
     def matching_statistics(self) -> np.ndarray:
         """Of every position, the length of its longest match that starts anywhere else."""
