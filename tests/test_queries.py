@@ -49,18 +49,18 @@ def test_whole_matching_leaves_no_point_out(spark, db):
             u = max(0.0, min(1.0, ((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / q)) if q else 0.0
             near[p, s] = round(math.hypot(x - x1 - u * (x2 - x1), y - y1 - u * (y2 - y1)), 6)
     least = {p: min(near[p, s[0]] for s in segs) for p, _, _ in pts}
-    pairs = {(r[0], r[1]) for r in run["candidate_join_grid_all"](spark, SF).collect()}
+    pairs = {(r[0], r[1]) for r in run["candidate_join_grid"](spark, SF).collect()}
     assert pairs == {k for k, d in near.items() if d <= 40} and any(p % 3 for p, _ in pairs)
-    found = {r[0]: r[1] for r in run["nearest_distance_all"](spark, SF).collect()}
+    found = {r[0]: r[1] for r in run["nearest_distance"](spark, SF).collect()}
     assert found.keys() == least.keys() and all(found[p] == pytest.approx(d) if d <= 150 else found[p] is None for p, d in least.items())
-    assert sum(r["unmatched_point_count"] for r in run["unmatched_buckets_all"](spark, SF).collect()) == sum(d > 40 for d in least.values())
+    assert sum(r["unmatched_point_count"] for r in run["unmatched_buckets"](spark, SF).collect()) == sum(d > 40 for d in least.values())
     matched = {p for p, d in least.items() if d <= 40}
     for name in ("best_segment", "best_road", "candidate_counts", "runner_up_margin"):
-        assert {r["point_id"] for r in run[f"{name}_all"](spark, SF).collect()} == matched
-    assert sum(r["n"] for r in run["radius_tier_all"](spark, SF).collect()) == len(matched)
-    assert {r["metric"]: r["value"] for r in run["match_metrics_all"](spark, SF).collect()}["sample_rows"] == len(matched)
+        assert {r["point_id"] for r in run[f"{name}"](spark, SF).collect()} == matched
+    assert sum(r["n"] for r in run["radius_tier"](spark, SF).collect()) == len(matched)
+    assert {r["metric"]: r["value"] for r in run["match_metrics"](spark, SF).collect()}["sample_rows"] == len(matched)
 
 
 def test_the_comparison_of_two_sources_takes_every_line(spark, db):
-    got = registry.queries()["two_source_comparison_all"](spark, SF)
+    got = registry.queries()["two_source_comparison"](spark, SF)
     assert got.agg({"overlap_count": "sum"}).first()[0] == db.sql("SELECT count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey").fetchall()[0][0]

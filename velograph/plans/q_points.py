@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import math
-from functools import partial
-
 from pyspark.sql import functions as F
 
 from velograph.functions import geometry as g
@@ -361,45 +359,39 @@ _DIST = "round(sqrt(pow(x - (x1 + t * (x2 - x1)), 2) + pow(y - (y1 + t * (y2 - y
 _T = "CASE WHEN (x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1) > 0 THEN greatest(0, least(1, ((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / ((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)))) ELSE 0 END"
 
 
-def _near_sql(radius: float, which: str = "point_id % 3 = 0") -> str:
+def _near_sql(radius: float) -> str:
     return f"""{POINTS_SQL}, {SEGMENTS_SQL}, prs AS (SELECT point_id, match_segment_id, road_feature_id, {_DIST} AS dist_to_axis FROM (SELECT *, {_T} AS t FROM pts JOIN seg
-ON x BETWEEN least(x1, x2) - {radius} AND greatest(x1, x2) + {radius} AND y BETWEEN least(y1, y2) - {radius} AND greatest(y1, y2) + {radius} WHERE {which}))"""
+ON x BETWEEN least(x1, x2) - {radius} AND greatest(x1, x2) + {radius} AND y BETWEEN least(y1, y2) - {radius} AND greatest(y1, y2) + {radius}))"""
 
 
-def some_points(spark, sf_dir, whole=False):
-    """Every third event, or all of them if whole; speeds are all eligible."""
-    df = points(spark, sf_dir)
-    return (df if whole else df.filter("point_id % 3 = 0")).select("point_id", "x", "y")
+def places(spark, sf_dir):
+    return points(spark, sf_dir).select("point_id", "x", "y")
 
 
-def pairs(spark, sf_dir, radius=40.0, whole=False):
-    return matching.grid_join(some_points(spark, sf_dir, whole), segments(spark, sf_dir), radius, digits=6)
+def pairs(spark, sf_dir, radius=40.0):
+    return matching.grid_join(places(spark, sf_dir), segments(spark, sf_dir), radius, digits=6)
 
 
 @add("candidate_join_grid", f"WITH {_near_sql(40)} SELECT point_id, match_segment_id, dist_to_axis FROM prs WHERE dist_to_axis <= 40")
-def candidate_join_grid(spark, sf_dir, whole=False):
-    return pairs(spark, sf_dir, whole=whole).select("point_id", "match_segment_id", "dist_to_axis")
-
+def candidate_join_grid(spark, sf_dir):
+    return pairs(spark, sf_dir).select("point_id", "match_segment_id", "dist_to_axis")
 
-@add("nearest_distance", f"WITH {_near_sql(150)} SELECT point_id, d AS nearest_road_distance_m FROM (SELECT point_id FROM pts WHERE point_id % 3 = 0) LEFT JOIN (SELECT point_id, min(dist_to_axis) AS d FROM prs WHERE dist_to_axis <= 150 GROUP BY 1) USING (point_id)")
-def nearest_distance(spark, sf_dir, whole=False):
-    return matching.nearest(some_points(spark, sf_dir, whole), segments(spark, sf_dir), 150.0, 150.0, digits=6).select("point_id", "nearest_road_distance_m")
 
+@add("nearest_distance", f"WITH {_near_sql(150)} SELECT point_id, d AS nearest_road_distance_m FROM (SELECT point_id FROM pts) LEFT JOIN (SELECT point_id, min(dist_to_axis) AS d FROM prs WHERE dist_to_axis <= 150 GROUP BY 1) USING (point_id)")
+def nearest_distance(spark, sf_dir):
+    return matching.nearest(places(spark, sf_dir), segments(spark, sf_dir), 150.0, 150.0, digits=6).select("point_id", "nearest_road_distance_m")
 
-_FEW = "match_segment_id % 40 = 0"
 
-
-@add("unmatched_buckets", f"""WITH {_near_sql(150).replace("FROM pts JOIN seg", "FROM pts JOIN (SELECT * FROM seg WHERE " + _FEW + ") seg")}, n AS (SELECT point_id, d FROM (SELECT point_id FROM pts WHERE point_id % 3 = 0) LEFT JOIN (SELECT point_id, min(dist_to_axis) AS d FROM prs WHERE dist_to_axis <= 150 GROUP BY 1) USING (point_id))
+@add("unmatched_buckets", f"""WITH {_near_sql(150)}, n AS (SELECT point_id, d FROM (SELECT point_id FROM pts) LEFT JOIN (SELECT point_id, min(dist_to_axis) AS d FROM prs WHERE dist_to_axis <= 150 GROUP BY 1) USING (point_id))
 SELECT CASE WHEN d <= 75 THEN 'GT_40_LE_75_M' WHEN d <= 150 THEN 'GT_75_LE_150_M' ELSE 'GT_150_M_OR_NO_CANDIDATE' END AS distance_bucket, count(*) AS unmatched_point_count FROM n WHERE d IS NULL OR d > 40 GROUP BY 1""")
-def unmatched_buckets(spark, sf_dir, whole=False):
-    roads = segments(spark, sf_dir)
-    return matching.unmatched_summary(some_points(spark, sf_dir, whole), roads if whole else roads.filter(_FEW), P, keys=(), digits=6)
+def unmatched_buckets(spark, sf_dir):
+    return matching.unmatched_summary(places(spark, sf_dir), segments(spark, sf_dir), P, keys=(), digits=6)
 
 
-def ranked(spark, sf_dir, whole=False):
+def ranked(spark, sf_dir):
     """Candidates without headings, so that the score is the distance alone."""
     none = F.lit(None).cast("double")
-    scored = matching.score(pairs(spark, sf_dir, whole=whole).withColumn("traj_azimuth", none).withColumn("road_azimuth", none), P)
+    scored = matching.score(pairs(spark, sf_dir).withColumn("traj_azimuth", none).withColumn("road_azimuth", none), P)
     return matching.best_segments(scored)
 
 
@@ -408,29 +400,61 @@ _ROAD = _BEST + """, k AS (SELECT *, row_number() OVER w AS r, lead(dist_to_axis
 count(CASE WHEN dist_to_axis <= 25 THEN 1 END) OVER (PARTITION BY point_id) AS c2 FROM f WINDOW w AS (PARTITION BY point_id ORDER BY dist_to_axis <= 15 DESC, dist_to_axis, road_feature_id)), b AS (SELECT * FROM k WHERE r = 1)"""
 
 
+#: Candidates of moving points, scored by distance and alignment, as by the two of a road's segments and of a point's roads.
+_HEADED = _LAG + f""", {SEGMENTS_SQL}, a AS (SELECT point_id, x, y, CASE WHEN d > 0 AND d <= 1800 AND m >= 1 THEN CASE WHEN atan2(x - px, y - py) < 0 THEN atan2(x - px, y - py) + 2 * pi() ELSE atan2(x - px, y - py) END END AS az FROM k),
+g AS (SELECT *, CASE WHEN x1 <> x2 OR y1 <> y2 THEN CASE WHEN atan2(x2 - x1, y2 - y1) < 0 THEN atan2(x2 - x1, y2 - y1) + 2 * pi() ELSE atan2(x2 - x1, y2 - y1) END END AS road_az FROM seg),
+prs AS (SELECT *, {_DIST} AS dist_to_axis, least(abs(az - road_az), 2 * pi() - abs(az - road_az)) AS turn FROM (SELECT *, {_T} AS t FROM a JOIN g ON x BETWEEN least(x1, x2) - 40 AND greatest(x1, x2) + 40 AND y BETWEEN least(y1, y2) - 40 AND greatest(y1, y2) + 40)),
+sc AS (SELECT *, CASE WHEN az IS NOT NULL AND road_az IS NOT NULL THEN turn END AS azimuth_diff, CASE WHEN az IS NOT NULL AND road_az IS NOT NULL THEN least(turn, pi() - turn) END AS al FROM prs WHERE dist_to_axis <= 40),
+z AS (SELECT *, CASE WHEN al IS NULL THEN dist_to_axis / 15.0::DOUBLE ELSE 0.65::DOUBLE * (dist_to_axis / 15.0::DOUBLE) + 0.35::DOUBLE * (al / (pi() / 2)) END AS score FROM sc),
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY point_id, road_feature_id ORDER BY score, dist_to_axis, al NULLS LAST, match_segment_id) AS r1 FROM z) WHERE r1 = 1),
+h AS (SELECT *, row_number() OVER w AS r2, lead(score) OVER w AS ns, count(*) OVER (PARTITION BY point_id) AS c3, count(CASE WHEN dist_to_axis <= 15 THEN 1 END) OVER (PARTITION BY point_id) AS c1
+FROM f WINDOW w AS (PARTITION BY point_id ORDER BY dist_to_axis <= 15 DESC, score, dist_to_axis, al NULLS LAST, road_feature_id))"""
+
+
+def headed(spark, sf_dir):
+    """Candidates with the heading of the point's last move and the segment's own."""
+    moving = derived(spark, sf_dir).select("point_id", "x", "y", "traj_azimuth")
+    roads = segments(spark, sf_dir).withColumn("road_azimuth", g.azimuth(*map(F.col, ("x1", "y1", "x2", "y2"))))
+    return matching.score(matching.grid_join(moving, roads, 40.0, digits=6), P)
+
+
+@add("best_segment_heading", _HEADED + " SELECT point_id, road_feature_id, match_segment_id, round(score, 9) AS match_score, round(al, 9) AS heading_alignment_diff FROM f")
+def best_segment_heading(spark, sf_dir):
+    df = matching.best_segments(headed(spark, sf_dir))
+    return df.select("point_id", "road_feature_id", "match_segment_id", F.round("match_score", 9).alias("match_score"), F.round("heading_alignment_diff", 9).alias("heading_alignment_diff"))
+
+
+@add("best_road_heading", _HEADED + """ SELECT point_id, road_feature_id, match_segment_id, dist_to_axis <= 15 AS within_primary_match_radius, CASE WHEN (CASE WHEN dist_to_axis <= 15 THEN c1 ELSE c3 END) > 1 THEN round(ns - score, 9) END AS score_margin,
+CASE WHEN azimuth_diff IS NULL THEN 'UNKNOWN_STATIONARY_OR_SHORT_MOVE' WHEN azimuth_diff > pi() / 2 THEN 'BACKWARD' ELSE 'FORWARD' END AS travel_direction FROM h WHERE r2 = 1""")
+def best_road_heading(spark, sf_dir):
+    best = matching.best_roads(matching.best_segments(headed(spark, sf_dir)), P)
+    way = matching.travel_direction(F.col("azimuth_diff"), F.lit(False))
+    return best.select("point_id", "road_feature_id", "match_segment_id", "within_primary_match_radius", F.round("score_margin", 9).alias("score_margin"), way.alias("travel_direction"))
+
+
 @add("best_segment", _BEST + " SELECT point_id, road_feature_id, match_segment_id, dist_to_axis FROM f")
-def best_segment(spark, sf_dir, whole=False):
-    return ranked(spark, sf_dir, whole).select("point_id", "road_feature_id", "match_segment_id", "dist_to_axis")
+def best_segment(spark, sf_dir):
+    return ranked(spark, sf_dir).select("point_id", "road_feature_id", "match_segment_id", "dist_to_axis")
 
 
 @add("best_road", _ROAD + " SELECT point_id, road_feature_id, dist_to_axis, dist_to_axis <= 15 AS within_primary_match_radius FROM b")
-def best_road(spark, sf_dir, whole=False):
-    return matching.best_roads(ranked(spark, sf_dir, whole), P).select("point_id", "road_feature_id", "dist_to_axis", "within_primary_match_radius")
+def best_road(spark, sf_dir):
+    return matching.best_roads(ranked(spark, sf_dir), P).select("point_id", "road_feature_id", "dist_to_axis", "within_primary_match_radius")
 
 
 @add("candidate_counts", _ROAD + " SELECT point_id, c1 AS candidate_count_radius_1, c2 AS candidate_count_radius_2, c3 AS candidate_count_radius_3, CASE WHEN dist_to_axis <= 15 THEN c1 ELSE c3 END AS candidate_count FROM b")
-def candidate_counts(spark, sf_dir, whole=False):
-    return matching.best_roads(ranked(spark, sf_dir, whole), P).select("point_id", *[f"candidate_count_radius_{i}" for i in (1, 2, 3)], "candidate_count")
+def candidate_counts(spark, sf_dir):
+    return matching.best_roads(ranked(spark, sf_dir), P).select("point_id", *[f"candidate_count_radius_{i}" for i in (1, 2, 3)], "candidate_count")
 
 
 @add("runner_up_margin", _ROAD + " SELECT point_id, CASE WHEN (CASE WHEN dist_to_axis <= 15 THEN c1 ELSE c3 END) > 1 THEN round(nd - dist_to_axis, 6) END AS dist_margin_m FROM b")
-def runner_up_margin(spark, sf_dir, whole=False):
-    return matching.best_roads(ranked(spark, sf_dir, whole), P).select("point_id", F.round("dist_margin_m", 6).alias("dist_margin_m"))
+def runner_up_margin(spark, sf_dir):
+    return matching.best_roads(ranked(spark, sf_dir), P).select("point_id", F.round("dist_margin_m", 6).alias("dist_margin_m"))
 
 
 @add("radius_tier", _ROAD + " SELECT CASE WHEN dist_to_axis <= 15 THEN 'LE_15_M' WHEN dist_to_axis <= 25 THEN 'GT_15_LE_25_M' ELSE 'GT_25_LE_40_M' END AS match_radius_tier, count(*) AS n FROM b GROUP BY 1")
-def radius_tier(spark, sf_dir, whole=False):
-    return matching.best_roads(ranked(spark, sf_dir, whole), P).groupBy("match_radius_tier").agg(F.count(F.lit(1)).alias("n"))
+def radius_tier(spark, sf_dir):
+    return matching.best_roads(ranked(spark, sf_dir), P).groupBy("match_radius_tier").agg(F.count(F.lit(1)).alias("n"))
 
 
 @add("distance_bucket", "SELECT CASE WHEN d <= 15 THEN 'LE_15_M' WHEN d <= 25 THEN 'GT_15_LE_25_M' WHEN d <= 40 THEN 'GT_25_LE_40_M' WHEN d <= 75 THEN 'GT_40_LE_75_M' WHEN d <= 150 THEN 'GT_75_LE_150_M' ELSE 'GT_150_M_OR_NO_CANDIDATE' END AS bucket, count(*) AS n FROM (SELECT CASE WHEN event_id % 9 <> 0 THEN event_id % 200 END AS d FROM events) GROUP BY 1")
@@ -442,17 +466,12 @@ def distance_bucket(spark, sf_dir):
 @add("match_metrics", _ROAD + """, m AS (SELECT dist_to_axis AS d, CASE WHEN dist_to_axis <= 15 THEN c1 ELSE c3 END AS c FROM b), v AS (SELECT count(*)::DOUBLE AS sample_rows, round(avg(d), 6) AS distance_mean, round(quantile_cont(d, 0.5), 6) AS distance_p50, round(quantile_cont(d, 0.9), 6) AS distance_p90,
 round(quantile_cont(d, 0.95), 6) AS distance_p95, round(avg((d <= 15)::INT), 6) AS primary_share, round(avg((c > 1)::INT), 6) AS ambiguous_share, 0::DOUBLE AS violations_total FROM m)
 SELECT metric, value FROM (UNPIVOT v ON COLUMNS(*) INTO NAME metric VALUE value)""")
-def match_metrics(spark, sf_dir, whole=False):
-    best = matching.best_roads(ranked(spark, sf_dir, whole), P).withColumns({"calc_speed_kmh": F.lit(1.0), "weather_join_status": F.lit("MATCHED"), "is_high_speed_iqr_outlier": F.lit(False)})
+def match_metrics(spark, sf_dir):
+    best = matching.best_roads(ranked(spark, sf_dir), P).withColumns({"calc_speed_kmh": F.lit(1.0), "weather_join_status": F.lit("MATCHED"), "is_high_speed_iqr_outlier": F.lit(False)})
     names = ("sample_rows", "distance_mean", "distance_p50", "distance_p90", "distance_p95", "primary_share", "ambiguous_share", "violations_total")
     return reports.match_metrics(best, P).filter(F.col("metric").isin(*names)).withColumn("value", F.round("value", 6))
 
 
-#: The queries above match every third point, as their SQL does; under these names they match all points with all segments.
-for _name in ("candidate_join_grid", "nearest_distance", "unmatched_buckets", "best_segment", "best_road", "candidate_counts", "runner_up_margin", "radius_tier", "match_metrics"):
-    add(f"{_name}_all", ORACLES[_name].replace("point_id % 3 = 0", "true").replace(_FEW, "true"))(partial(QUERIES[_name], whole=True))
-
-
 # --- weather, tags, summaries -----------------------------------------------------------------------------------------------------
 
 _HOURS = "h AS (SELECT DISTINCT date_trunc('hour', ts) AS weather_hour_utc FROM events WHERE hour(ts) % 5 <> 0)"

@@ -73,7 +73,7 @@ _SEASON = f"WITH {OBSERVATIONS_SQL}, {LABELS_SQL}, p AS (SELECT road_feature_id,
 
 def season_profile(spark, sf_dir):
     rows = labelled(spark, sf_dir)
-    return rows.groupBy("road_feature_id", "season").agg(*profiles.measures(P, exact_decimals=0)).withColumn("meets_min_sample_count", F.col("n_samples") >= 600)
+    return profiles.summarise(rows, ("road_feature_id", "season"), P, exact_decimals=0).withColumn("meets_min_sample_count", F.col("n_samples") >= 600)
 
 
 @add("support_rollup", _SEASON + " SELECT road_feature_id, sum(n_samples)::BIGINT AS n_samples, bool_or(n_samples >= 600) AS supported FROM p GROUP BY road_feature_id")
@@ -164,20 +164,13 @@ def exact_percentile(spark, sf_dir):
     return df.select("l_returnflag", *[F.round(c, 4).alias(c) for c in ("p50", "p90", "p95")])
 
 
-@add("two_source_comparison", """WITH j AS (SELECT o_orderpriority, year(o_orderdate)::INT AS year, date_diff('day', o_orderdate, l_shipdate)::BIGINT AS a, l_quantity::BIGINT AS b FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber <= 3)
+@add("two_source_comparison", """WITH j AS (SELECT o_orderpriority, year(o_orderdate)::INT AS year, date_diff('day', o_orderdate, l_shipdate)::BIGINT AS a, l_quantity::BIGINT AS b FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
 SELECT o_orderpriority, year, count(*) AS overlap_count, round(avg(a - b), 6) AS mean_signed_difference_kmh, quantile_disc(abs(a - b), 0.5)::BIGINT AS median_absolute_difference_kmh, quantile_disc(abs(a - b), 0.95)::BIGINT AS p95_absolute_difference_kmh FROM j GROUP BY ALL""")
-def two_source_comparison(spark, sf_dir, whole=False):
-    """Lines 1 to 3 of every order, or all of them, with exact quantiles, if whole."""
+def two_source_comparison(spark, sf_dir):
     li, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    li = li if whole else li.filter("l_linenumber <= 3")
     rows = li.join(o, li["l_orderkey"] == o["o_orderkey"]).select("o_orderpriority", F.year("o_orderdate").alias("year"), F.datediff(F.to_date("l_shipdate"), F.to_date("o_orderdate")).cast("long").alias("a"), F.col("l_quantity").cast("long").alias("b"))
-    found = reports.two_speed_comparison(rows, ("o_orderpriority", "year"), "a", "b", exact=whole).withColumn("mean_signed_difference_kmh", F.round("mean_signed_difference_kmh", 6))
-    return found.withColumns({c: F.col(c).cast("long") for c in ("median_absolute_difference_kmh", "p95_absolute_difference_kmh")}) if whole else found
-
-
-@add("two_source_comparison_all", ORACLES["two_source_comparison"].replace(" WHERE l_linenumber <= 3", ""))
-def two_source_comparison_all(spark, sf_dir):
-    return two_source_comparison(spark, sf_dir, whole=True)
+    found = reports.two_speed_comparison(rows, ("o_orderpriority", "year"), "a", "b", exact=True).withColumn("mean_signed_difference_kmh", F.round("mean_signed_difference_kmh", 6))
+    return found.withColumns({c: F.col(c).cast("long") for c in ("median_absolute_difference_kmh", "p95_absolute_difference_kmh")})
 
 
 @add("bottom_k_strata", """WITH r AS (SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY sha256(event_id::VARCHAR)) AS r, sha256(event_id::VARCHAR) AS point_id FROM events)
