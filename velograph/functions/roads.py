@@ -27,28 +27,33 @@ def _lookup(table: dict, key: Column) -> Column:
     return F.create_map(*[F.lit(x) for pair in table.items() for x in pair])[key]
 
 
+def leading_number(text: Column) -> tuple[Column, Column]:
+    """The number that the first digit of a text begins (null without a digit), and what follows it, without space before."""
+    from_digit = F.regexp_replace(text, "^[^0-9]+", "")
+    digits = F.regexp_extract(from_digit, "^[0-9]+([.][0-9]+)?", 0)
+    return digits.try_cast("double"), F.ltrim(F.substr(from_digit, F.length(digits) + 1))
+
+
 def maxspeed(value: Column, highway: Column, defaults: dict[str, int]) -> Column:
-    """struct<value_kmh, source, raw> of a speed tag: its first part as a symbol or a number with a unit, else the class's default.
+    """struct<value_kmh, source, raw> of a speed tag; of several values, parted by semicolons, the first counts.
 
-    Numbers are rounded half to even and count from 5 to 140.
+    A symbol has its fixed speed. A number counts as km/h unless mph follows it, is rounded half to even, and must lie within 5 and
+    140. Without a tag, and where a tag says neither, the speed is the default of the road's class.
     """
-    raw = F.trim(value)
-    raw = F.when(raw != "", raw)
-    given = raw.isNotNull() & (F.lower(raw) != "nan")
-    first = F.lower(F.trim(F.element_at(F.split(raw, ";"), 1)))
-    symbol = _lookup(SYMBOLIC_SPEEDS, first)
-    pattern = r"(?<!\d)(\d+(?:\.\d+)?)\s*(mph|km/?h|kph)?"
-    number, unit = F.regexp_extract(first, pattern, 1).try_cast("double"), F.regexp_extract(first, pattern, 2)
-    rounded = F.bround(F.when(unit == "mph", number * MPH).otherwise(number))
-    usable = given & rounded.between(5, 140)
-    default = F.coalesce(_lookup(defaults, highway), F.lit(50))
-    kmh = F.when(given & symbol.isNotNull(), symbol).when(usable, rounded.cast("int")).otherwise(default)
+    raw = F.nullif(F.trim(value), F.lit(""))
+    tagged = F.coalesce(F.lower(raw) != "nan", F.lit(False))
+    said = F.lower(F.trim(F.substring_index(raw, ";", 1)))
+    symbol = F.when(tagged, _lookup(SYMBOLIC_SPEEDS, said))
+    number, rest = leading_number(said)
+    miles = F.startswith(rest, F.lit("mph"))
+    speed = F.bround(number * F.when(miles, F.lit(MPH)).otherwise(1.0))
+    numeric = F.when(tagged & (speed >= 5) & (speed <= 140), speed.cast("int"))
+    kmh = F.coalesce(symbol, numeric, _lookup(defaults, highway), F.lit(50))
+    # Where a speed comes from.
     source = (
-        F.when(~given | raw.isNull(), "IMPUTED_HIGHWAY_DEFAULT")
-        .when(symbol.isNotNull(), "OSM_SYMBOLIC_TAG")
-        .when(usable, F.when(unit == "mph", "OSM_NUMERIC_MPH_CONVERTED").otherwise("OSM_NUMERIC_KMH"))
-        .otherwise("IMPUTED_UNPARSEABLE_TAG")
-    )
+        F.when(~tagged, "IMPUTED_HIGHWAY_DEFAULT").when(symbol.isNotNull(), "OSM_SYMBOLIC_TAG").when(numeric.isNull(), "IMPUTED_UNPARSEABLE_TAG")
+        .when(miles, "OSM_NUMERIC_MPH_CONVERTED").otherwise("OSM_NUMERIC_KMH")
+    )
     return F.struct(kmh.alias("value_kmh"), source.alias("source"), raw.alias("raw"))
 
 

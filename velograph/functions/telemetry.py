@@ -7,15 +7,20 @@ from pyspark.sql import functions as F
 
 from velograph.params import Params
 
-#: The columns whose content identifies a point.
+# The columns whose content identifies a point.
 IDENTITY = ("GPS", "GPS_LAT", "GPS_LON", "GPS_SPEED", "GPS_TIME", "ETL_CZAS", "SYGNALIZACJA_SWIETLNA", "SYGNALIZACJA_DZWIEKOWA")
 
 
+# The states of lights and sound, and what becomes of values that aren't 0 or 1.
+SIGNAL_MODES = ("LIGHT_OFF_SOUND_OFF", "LIGHT_OFF_SOUND_ON", "LIGHT_ON_SOUND_OFF", "LIGHT_ON_SOUND_ON")
+SIGNAL_MISSING, SIGNAL_INVALID = "SIGNAL_MISSING", "SIGNAL_INVALID"
+
+
 def signal_mode(lights: Column, sound: Column) -> Column:
     """The state of two 0/1 flags; anything missing or else is named as such."""
-    word = lambda flag, name: F.concat(F.lit(name), F.when(flag == 1, "_ON").otherwise("_OFF"))
-    both = F.concat_ws("_", word(lights, "LIGHT"), word(sound, "SOUND"))
-    return F.when(lights.isNull() | sound.isNull(), "SIGNAL_MISSING").when(lights.isin(0, 1) & sound.isin(0, 1), both).otherwise("SIGNAL_INVALID")
+    known = lights.isin(0, 1) & sound.isin(0, 1)
+    state = F.get(F.array(*map(F.lit, SIGNAL_MODES)), (2 * lights + sound).cast("int"))
+    return F.when(lights.isNull() | sound.isNull(), SIGNAL_MISSING).when(known, state).otherwise(SIGNAL_INVALID)
 
 
 def in_world(lat: Column, lon: Column) -> Column:

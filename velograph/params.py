@@ -18,7 +18,7 @@ DEFAULT_SPEEDS = {
 
 @dataclass(frozen=True)
 class Params:
-    """Boxes are west, south, east, north; distances in metres, speeds in km/h, times in seconds."""
+    """Boxes are west, south, east, north; distances in metres, speeds in km/h, times in seconds. The defaults are fixed values, too."""
 
     period: tuple[str, str] = ("2021-01-01", "2023-12-31")
     study_box: tuple[float, float, float, float] = STUDY_BOX

@@ -18,15 +18,19 @@ from velograph.operators.reports import observe_attrition
 from velograph.params import Params
 from velograph.sources.readers import require
 
+# The columns of a matched point.
 SILVER = (
-    "point_id source_entity_id timestamp_utc timestamp_local timestamp_source timestamp_disagreement_sec timestamp_sources_disagree year month quarter season day "
-    "hour day_of_week_iso is_weekend inside_study_aoi inside_road_extraction_bbox GPS_LAT GPS_LON GPS_SPEED signal_mode x y prev_timestamp_utc time_delta_sec "
-    "dist_delta_meters displacement_speed_kmh gps_speed_kmh calc_speed_kmh speed_source speed_derivation_reason traj_azimuth road_feature_id match_segment_id osm_id "
-    "name highway maxspeed_raw maxspeed_kmh maxspeed_source oneway dist_to_axis azimuth_diff heading_alignment_diff match_score candidate_count "
-    "candidate_count_primary_radius candidate_count_radius_1 candidate_count_radius_2 candidate_count_radius_3 candidate_count_sensitivity_max_radius "
-    "within_primary_match_radius selected_match_radius_m match_radius_tier score_margin dist_margin_m travel_direction weather_hour_utc weather_category weather_model "
-    "weather_join_status road_speed_sample_count road_speed_q1_kmh road_speed_q3_kmh road_speed_iqr_kmh high_speed_outlier_threshold_kmh is_high_speed_iqr_outlier"
-).split()
+    "point_id", "source_entity_id", "timestamp_utc", "timestamp_local", "timestamp_source", "timestamp_disagreement_sec",
+    "timestamp_sources_disagree", "year", "month", "quarter", "season", "day", "hour", "day_of_week_iso", "is_weekend", "inside_study_aoi",
+    "inside_road_extraction_bbox", "GPS_LAT", "GPS_LON", "GPS_SPEED", "signal_mode", "x", "y", "prev_timestamp_utc", "time_delta_sec",
+    "dist_delta_meters", "displacement_speed_kmh", "gps_speed_kmh", "calc_speed_kmh", "speed_source", "speed_derivation_reason",
+    "traj_azimuth", "road_feature_id", "match_segment_id", "osm_id", "name", "highway", "maxspeed_raw", "maxspeed_kmh", "maxspeed_source",
+    "oneway", "dist_to_axis", "azimuth_diff", "heading_alignment_diff", "match_score", "candidate_count", "candidate_count_primary_radius",
+    "candidate_count_radius_1", "candidate_count_radius_2", "candidate_count_radius_3", "candidate_count_sensitivity_max_radius",
+    "within_primary_match_radius", "selected_match_radius_m", "match_radius_tier", "score_margin", "dist_margin_m", "travel_direction",
+    "weather_hour_utc", "weather_category", "weather_model", "weather_join_status", "road_speed_sample_count", "road_speed_q1_kmh",
+    "road_speed_q3_kmh", "road_speed_iqr_kmh", "high_speed_outlier_threshold_kmh", "is_high_speed_iqr_outlier",
+)
 
 
 def metric_box(box: tuple[float, float, float, float], df: DataFrame) -> tuple[float, float, float, float]:
@@ -93,11 +97,11 @@ def base_roads(roads: DataFrame) -> DataFrame:
     )
 
 
-def gold(silver_rows: DataFrame, roads: DataFrame, p: Params) -> dict[str, DataFrame]:
-    """base, the four marginal profiles, and flat (the joint profile with road attributes)."""
+def gold(silver_rows: DataFrame, roads: DataFrame, p: Params, keep=lambda df, name: df) -> dict[str, DataFrame]:
+    """base, the four marginal profiles, and flat (the joint profile with road attributes). keep: see all_profiles()."""
     base = base_roads(roads)
     reference = base.select("road_feature_id", "operating_speed_reference_kmh", "operating_speed_reference_source")
     rows = observations(silver_rows, p).join(reference, "road_feature_id")
-    tables = all_profiles(rows, p)
+    tables = all_profiles(rows, p, keep)
     tables["flat"] = flat_with_roads(tables["flat"], base)
     return {"base": base, **tables}
