@@ -4,10 +4,13 @@ import json
 import zipfile
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from velograph.functions.geometry import from_wkb
 from velograph.params import Params
+from velograph.plans import run, tools
 from velograph.plans.run import build, main
 from velograph.sources import layers, readers, sinks
 
@@ -60,6 +63,46 @@ def test_corrupt_rows_are_kept_apart(spark, tmp_path):
     (tmp_path / "a.csv").write_text("\n".join([HEAD, line(1, 50.0, 20.0, 100, "2022-01-01 10:00:00"), "x,y,z"]))
     rows = readers.read_telemetry(spark, str(tmp_path)).cache()
     assert rows.count() == 2 and rows.filter("_corrupt_record is not null").count() == 1
+    # a narrow query sees them, too
+    narrow = readers.read_telemetry(spark, str(tmp_path)).select("DIN", "_corrupt_record")
+    assert sorted(r[1] is None for r in narrow.collect()) == [False, True]
+
+
+def test_sorted_files_are_one_file_in_order_sorted_by_many_tasks(spark, tmp_path):
+    rows = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("id"), F.encode(F.col("id").cast("string"), "UTF-8").alias("raw"), F.when(F.col("id") % 3 > 0, F.lit(0.5)).alias("v"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # so that small ranges aren't merged
+    try:
+        assert sinks.write_sorted(rows.repartition(6), f"{tmp_path}/t.parquet", ["id"], csv=True, metadata={"k": "v"}) == 5000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    (one,) = (tmp_path / "t.parquet").iterdir()
+    table = pq.read_table(one)
+    assert table["id"].to_pylist() == list(range(5000)) and table.schema.metadata[b"k"] == b"v" and not (tmp_path / "t.parquet.parts").exists()
+    assert sinks.csv_twin_failures(spark, str(tmp_path), "t") == [] and spark.read.parquet(f"{tmp_path}/t.parquet").count() == 5000
+    assert sinks.write_sorted(rows.filter("false"), f"{tmp_path}/e.parquet", ["id"], csv=True) == 0 and spark.read.parquet(f"{tmp_path}/e.parquet").columns == ["id", "raw", "v"]
+
+
+def test_spatial_parquet_says_what_it_holds(spark, tmp_path):
+    rows = spark.sql("SELECT 'b' AS road_feature_id, array(named_struct('x', 19.5D, 'y', 50D), named_struct('x', 20D, 'y', 50.5D)) AS line UNION ALL SELECT 'a', array(named_struct('x', 19D, 'y', 51D), named_struct('x', 19.2D, 'y', 51D))")
+    assert sinks.write_geoparquet(rows, f"{tmp_path}/g.parquet", ["road_feature_id"]) == 2
+    (one,) = (tmp_path / "g.parquet").iterdir()
+    table = pq.read_table(one)
+    geo = json.loads(table.schema.metadata[b"geo"])
+    assert geo["columns"]["geometry"] == {"encoding": "WKB", "geometry_types": ["LineString"], "bbox": [19.0, 50.0, 20.0, 51.0]} and table["road_feature_id"].to_pylist() == ["a", "b"]
+    back = spark.read.parquet(f"{tmp_path}/g.parquet").select(from_wkb("geometry").alias("line")).collect()
+    assert [tuple(v) for v in back[1]["line"]] == [(19.5, 50.0), (20.0, 50.5)]
+
+
+def test_partitions_are_split_by_size_and_replaced_alone(spark, tmp_path):
+    rows = spark.range(20000).select((F.col("id") % 2).alias("year"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
+    try:
+        sinks.write_partitions(rows.repartition(8), f"{tmp_path}/p", "year")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "p" / "year=0").glob("*.parquet"))) > 1
+    sinks.write_partitions(rows.filter("year = 1").limit(5), f"{tmp_path}/p", "year")
+    assert {r["year"]: r["count"] for r in spark.read.parquet(f"{tmp_path}/p").groupBy("year").count().collect()} == {0: 10000, 1: 5}
 
 
 def test_json_package_and_database(spark, tmp_path):
@@ -114,3 +157,44 @@ def test_whole_pipeline(spark, tmp_path):
     build(spark, csv, str(tmp_path / "roads"), str(tmp_path / "w.json"), tmp_path / "out", Params())
     assert layers.layer_marker(tmp_path / "out/gold") == before
     assert main(["--csv", "x", "--roads", "x", "--weather", "x", "--out", "x", "--params", '{"max_gap": 0}']) == 2
+    # what the run was made with, and checks of what it made
+    manifest = json.loads((tmp_path / "out/reports/run.json").read_text())
+    assert manifest["fingerprint"] == Params().fingerprint() and manifest["stages"] == ["bronze", "silver", "gold"] and manifest["packages"]["pyspark"]
+    assert run.recorded_radii(tmp_path / "out", Params(radii=(1.0, 2.0, 3.0), primary_radius=1.0)) == (15.0, 40.0, "run manifest")
+    assert run.recorded_radii(tmp_path / "none", Params()) == (15.0, 40.0, "parameters")
+    assert tools.main(["validate", "--gold", str(tmp_path / "out/gold"), "--report", str(tmp_path / "report.json")], spark) == 0
+    report = json.loads((tmp_path / "report.json").read_text())
+    assert report["failures"] == [] and {t["table"]: t["n_samples"] for t in report["tables"]} == dict.fromkeys(("season", "month", "weekday", "time_of_day", "flat"), 30)
+    metrics, found = tools.matches(spark, tmp_path / "out", Params(), 10)
+    assert found["rows"] == 10 and {r["metric"]: r["value"] for r in metrics.collect()}["violations_total"] == 0.0
+    (tmp_path / "meta.json").write_text(json.dumps({"title": "T", "version": "1", "authors": ["A"]}))
+    (tmp_path / "readme.md").write_text("# {{TITLE}}")
+    assert tools.main(["package", "--gold", str(tmp_path / "out/gold"), "--output", str(tmp_path / "pkg"), "--metadata", str(tmp_path / "meta.json"), "--readme", str(tmp_path / "readme.md")]) == 0
+    assert sinks.checksum_failures(tmp_path / "pkg", required=True) == [] and (tmp_path / "pkg/flat.parquet").is_dir()
+    # planted faults are found
+    bad = spark.read.parquet(str(tmp_path / "out/gold/season.parquet")).withColumns({"season": F.lit("SPRINGTIME"), "road_feature_id": F.lit("nowhere")})
+    bad = spark.createDataFrame(bad.collect(), bad.schema)
+    sinks.write_sorted(bad, str(tmp_path / "out/gold/season.parquet"), ["road_feature_id"])
+    failures, _ = tools.validate(spark, str(tmp_path / "out/gold"), Params())
+    assert any("SPRINGTIME" in f for f in failures) and any("orphans" in f for f in failures)
+
+
+def test_a_broken_off_run_goes_on_after_its_last_batch(spark, tmp_path, monkeypatch):
+    csv = tmp_path / "csv"
+    csv.mkdir()
+    for n, day in (("a", 1), ("b", 2), ("c", 3)):
+        (csv / f"{n}.csv").write_text("\n".join([HEAD, *[line(7, 50.0647, 19.945, 1000 + i, f"2022-01-0{day} 10:00:{i:02d}") for i in range(5)], line(7, 50.0, 20.0, 5, "2022-01-01 12:00:00")]))
+    files, read, real = readers.find_csv(csv), [], run.read_telemetry
+
+    def breaks_at_c(spark, names):
+        read.append([Path(n).name for n in names])
+        if read[-1] == ["c.csv"] and len(read) < 4:
+            raise ValueError("broken off")
+        return real(spark, names)
+
+    monkeypatch.setattr(run, "read_telemetry", breaks_at_c)
+    with pytest.raises(ValueError, match="broken off"):
+        run.build_bronze(spark, files, tmp_path / "stage", Params(), 1)
+    rows, counts = run.build_bronze(spark, files, tmp_path / "stage", Params(), 1)
+    assert read == [["a.csv"], ["b.csv"], ["c.csv"], ["c.csv"]]
+    assert rows.count() == 16 and counts["raw_rows"] == 18 and {r["source_file"].rsplit("/")[-1] for r in rows.filter("GPS_SPEED = 5").collect()} == {"a.csv"}

@@ -135,7 +135,7 @@ def histogram_percentiles(bins: DataFrame, shares: tuple[float, ...], width: flo
     # the bin of a 0-based place is the first whose cumulative count exceeds it
     place = F.array_min(F.transform(F.filter("bins", lambda b: b["cumulative"] > F.col("place")), lambda b: b["bin"]))
     held = bins.agg(F.collect_list(F.struct("bin", "cumulative")).alias("bins"))
-    middle = wanted.join(F.broadcast(held)).select("share", "rank", "place", ((place + 0.5) * width).alias("m"))
+    middle = wanted.join(held).select("share", "rank", "place", ((place + 0.5) * width).alias("m"))
     out = middle.groupBy("share", "rank").agg(F.min_by("m", "place").alias("lo"), F.max_by("m", "place").alias("hi"))
     return out.select("share", (F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("rank") - F.floor("rank"))).alias("value"))
 

@@ -31,10 +31,11 @@ def require(df: DataFrame, *columns: str, what: str = "table") -> DataFrame:
 def read_telemetry(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Raw rows with source_file. Folders are read with all below them; hidden files and those beginning with ._ are left out.
 
-    A row that doesn't fit is kept in _corrupt_record; column pruning is off, as a pruned column would hide that.
+    A row that doesn't fit is kept in _corrupt_record; the parser's column pruning is off, as it would look at no other columns than
+    a query asks for.
     """
     reader = spark.read.schema(RAW_SCHEMA).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-    reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.[cC][sS][vV]")
+    reader = reader.option("columnPruning", False).option("recursiveFileLookup", True).option("pathGlobFilter", "*.[cC][sS][vV]")
     rows = reader.csv(paths).withColumn("source_file", F.col("_metadata.file_path"))
     name = F.element_at(F.split("source_file", "/"), -1)
     return rows.filter(~name.startswith("._"))
