@@ -57,6 +57,12 @@ def coverage(df: DataFrame, report: str, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count")).withColumn("report_type", F.lit(report))
 
 
+def layer_summary(df: DataFrame, ts: str = "timestamp_utc") -> DataFrame:
+    """One row: how many rows, and the first and last second."""
+    at = F.unix_timestamp(ts)
+    return df.agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("first_epoch"), F.max(at).alias("last_epoch"))
+
+
 def silver_summary(silver: DataFrame, bronze_rows: int, usable_rows: int) -> DataFrame:
     """One row: how many points were read, usable, matched, within the primary radius, outliers and without weather."""
     return silver.agg(

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from velograph.plans import q_points, q_profiles
+from velograph.plans import q_layers, q_points, q_profiles
 
-MODULES = (q_profiles, q_points)
+MODULES = (q_profiles, q_points, q_layers)
 
 
 def queries() -> dict:
