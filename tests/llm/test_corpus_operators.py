@@ -8,6 +8,7 @@ import random
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,6 +54,24 @@ def test_budget_blocks_and_entropy(spark):
         mixing.mix(rows.withColumn("epoch", F.lit(0)), tokens=F.col("words"))
 
 
+def test_streams_are_written_in_order_with_whole_rows(spark, tmp_path):
+    """From a table in files, and from one that isn't: the same blocks, each in one file, files in the order of blocks; twins stay twins."""
+    r = random.Random(9)
+    rows = [(i, r.choice(["big", "big", "small", None]), "w " * r.randint(1, 40), {"k": i}) for i in range(400)]
+    df = spark.createDataFrame(rows + rows[:3], "doc_id long, source string, text string, extra map<string,long>")
+    df.repartition(5).write.parquet(f"{tmp_path}/docs")
+    read = spark.read.parquet(f"{tmp_path}/docs")
+    plain = lambda d: sorted((x["doc_id"], x["epoch"], x["block"], x["place"], x["text"], x["extra"]["k"]) for x in d.collect())
+    made = [mixing.mix(d, block_tokens=700, max_repeats=2.0, in_order=True) for d in (df, read, read.filter("doc_id >= 0"))]
+    assert plain(made[0]) == plain(made[1]) == plain(made[2]) and made[1].columns == [*df.columns, *mixing.OWN]
+    assert all(x["text"] == rows[x["doc_id"]][2] and x["extra"]["k"] == x["doc_id"] for x in made[1].collect())
+    made[1].write.parquet(f"{tmp_path}/out")
+    stream = []
+    for f in sorted((tmp_path / "out").glob("*.parquet")):
+        stream += [(x["block"], x["place"]) for x in pq.read_table(f, columns=["block", "place"]).to_pylist()]
+    assert stream == sorted(stream) and len({b for b, _ in stream}) > 8
+
+
 def test_words_are_counted_as_one_character_each(spark):
     texts = ["", None, "  ", "a", " a  b\n", "a\tb\x0bc d"]
     rows = spark.createDataFrame([(t,) for t in texts], "text string").select(mixing.token_count().alias("n")).collect()

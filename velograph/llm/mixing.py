@@ -7,7 +7,8 @@ sequence of epochs, each its own pseudo-random permutation of the source's docum
 source, the documents whose first token lies in its b-th quota, and is itself a permutation of them.
 
 A document weighs its words, one at least, so that blocks are bounded. Positions come from two levels of prefix sums
-(hash buckets of some BUCKET_ROWS rows, then rows of a bucket), so no task sees a whole source. Only scalars reach the driver. With a budget, a
+(hash buckets of some BUCKET_ROWS rows, then rows of a bucket), so no task sees a whole source. All this runs over the rows' names,
+sources and sizes; whole rows join once, at the end. Only scalars reach the driver. With a budget, a
 copy is kept if it ends within its source's tokens; without one the budget is the least that holds every document once.
 
 A null source is a source of its own, a null text or doc_id is allowed, ties of the permutation fall to doc_id and tokens
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -95,20 +97,36 @@ def weigh(sources: DataFrame, total: int, exponent: float, block_tokens: int, bu
     return df.withColumn("target", target).withColumn("quota", F.greatest(F.round(F.col("weight") * float(block_tokens)).cast("long"), F.lit(1).cast("long")))
 
 
-def mix(docs: DataFrame, block_tokens: int = 1_000_000, budget_share: float | None = None, entropy_share: float | None = None, max_repeats: float | None = None, seed: int = 7, tokens: Column | None = None) -> DataFrame:
+def named_rows(docs: DataFrame) -> tuple[DataFrame, Column, Column]:
+    """docs, and the columns that name each of its rows for good: its Parquet file and the place in it. What isn't read from Parquet
+    as it is gets written first, as a number given to rows on their way need not be the same when a task runs again."""
+    for rows in (docs, None):
+        rows = settle(docs, "mix-docs") if rows is None else rows
+        try:
+            at = rows.metadataColumn("_metadata")
+            rows.select(at["file_path"], at["row_index"])  # fails here if there is no such thing
+            return rows, at["file_path"], at["row_index"]
+        except AnalysisException:
+            continue
+    raise ValueError("rows can't be named")
+
+
+def mix(docs: DataFrame, block_tokens: int = 1_000_000, budget_share: float | None = None, entropy_share: float | None = None, max_repeats: float | None = None, seed: int = 7, tokens: Column | None = None, in_order: bool = False) -> DataFrame:
     """docs (with source and doc_id), a row for each copy, with tokens, epoch, block and place (from 0 within the block).
 
     budget_share: tokens of the stream as a share of the corpus; entropy_share: target entropy as a share of that of
-    even weights.
+    even weights; in_order: blocks are dealt out to partitions in their order and sorted, so that files written follow the stream.
     """
     if clash := set(OWN) & set(docs.columns):
         raise ValueError(f"columns in the way: {sorted(clash)}")
-    # the row travels as one column, so that no other name can clash with what is computed here
-    docs = docs.select(F.struct(*docs.columns).alias("__row"), "source", "doc_id", (token_count() if tokens is None else tokens).alias("tokens"))
+    # rows are known by file and place in it, and whole rows join last, as one column, so that no other name can clash with these
+    docs, file, at = named_rows(docs)
+    whole = docs.select(F.struct(*docs.columns).alias("__row"), file.alias("__file"), at.alias("__at_row"))
+    docs = settle(docs.select(file.alias("file"), at.alias("at_row"), "source", "doc_id", (token_count() if tokens is None else tokens).alias("tokens")), "mix-rows")
     sources = source_table(docs)
     total, n, most = sources.agg(F.sum("source_tokens"), F.count(F.lit(1)), F.max("source_rows")).first()
     if not n:
-        return docs.select("__row.*", "tokens", F.lit(0).alias("epoch"), F.lit(0).cast("long").alias("block"), F.lit(0).cast("long").alias("place")).limit(0)
+        return whole.select("__row.*", F.lit(1).cast("long").alias("tokens"), F.lit(0).alias("epoch"), F.lit(0).cast("long").alias("block"), F.lit(0).cast("long").alias("place")).limit(0)
     budget = None if budget_share is None else float(round(budget_share * total))
     exponent = solve_exponent(sources, total, budget, None if entropy_share is None else entropy_share * math.log(n), max_repeats)
     weighed = settle(weigh(sources, total, exponent, block_tokens, budget).select(F.col("source").alias("__source"), "source_tokens", "target", "quota"), "mix-weights")
@@ -126,12 +144,13 @@ def mix(docs: DataFrame, block_tokens: int = 1_000_000, budget_share: float | No
     rows = rows.filter(F.col("__at") + F.col("tokens") <= F.col("target")).withColumn("block", F.floor(F.col("__at") / F.col("quota")).cast("long"))
     shuffled = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("block").cast("string"), F.col("epoch").cast("string"), F.col("doc_id").cast("string")).cast("binary"))
     place = F.row_number().over(W.partitionBy("block").orderBy("__order", "source", "doc_id", "tokens")).cast("long") - 1
-    return rows.withColumn("__order", shuffled).withColumn("place", place).select("__row.*", "tokens", "epoch", "block", "place")
-
-
-def in_stream_order(mixed: DataFrame) -> DataFrame:
-    """mix()'s rows dealt out by ranges of (block, place) and sorted, so that files written from it follow the stream."""
-    return mixed.repartitionByRange("block", "place").sortWithinPartitions("block", "place")
+    rows = rows.withColumn("__order", shuffled).withColumn("place", place).select("file", "at_row", *OWN)
+    rows = rows.join(whole, (F.col("file") == F.col("__file")) & (F.col("at_row") == F.col("__at_row"))).select("__row", *OWN)
+    if in_order:
+        blocks = weighed.agg(F.max(F.floor((F.col("target") - 1) / F.col("quota")))).first()[0] + 1
+        parts = min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), blocks)
+        rows = rows.repartitionById(parts, F.floor(F.col("block") * parts / blocks).cast("int")).sortWithinPartitions("block", "place")
+    return rows.select("__row.*", *OWN)
 
 
 def oracle(block_tokens: int, budget_share: float, entropy_share: float, max_repeats: float, seed: int) -> str:
