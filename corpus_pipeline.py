@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from velograph.llm.bpe import tokenize
-from velograph.llm.mixing import in_stream_order, mix
+from velograph.llm.mixing import mix
 from velograph.llm.ngram_join import keep_one
 from velograph.llm.pii import sanitise
 from velograph.llm.q_bpe import vocabulary_path
@@ -30,7 +30,7 @@ def remove_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Small sources are repeated, up to one and a half times; every document stays at least once. Rows are written in the stream's order."""
-    return in_stream_order(mix(docs, max_repeats=1.5)).select(*docs.columns)
+    return mix(docs, max_repeats=1.5, in_order=True).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
