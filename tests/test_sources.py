@@ -1,6 +1,8 @@
 """Readers, sinks, layers and the whole pipeline on a few files."""
 
+import contextlib
 import json
+import sqlite3
 import zipfile
 from pathlib import Path
 
@@ -93,6 +95,20 @@ def test_spatial_parquet_says_what_it_holds(spark, tmp_path):
     assert [tuple(v) for v in back[1]["line"]] == [(19.5, 50.0), (20.0, 50.5)]
 
 
+def test_geopackage_holds_layers_and_tables(spark, tmp_path):
+    rows = spark.sql("SELECT 'b' AS road_feature_id, array(named_struct('x', 19.5D, 'y', 50D), named_struct('x', 20D, 'y', 50.5D)) AS line")
+    sinks.write_geopackage({"roads": rows}, {"season": spark.sql("SELECT 'b' AS road_feature_id, 3L AS n")}, tmp_path / "a.gpkg", "road_feature_id")
+    with contextlib.closing(sqlite3.connect(tmp_path / "a.gpkg")) as db:
+        assert db.execute("PRAGMA application_id").fetchone()[0] == 0x47504B47
+        assert db.execute("SELECT table_name, data_type, min_x, max_y, srs_id FROM gpkg_contents ORDER BY 1").fetchall() == [("roads", "features", 19.5, 50.5, 4326), ("season", "attributes", None, None, None)]
+        assert db.execute("SELECT fid, n FROM season").fetchall() == [(1, 3)]
+        (blob,) = db.execute("SELECT geom FROM roads").fetchone()
+        assert blob[:8] == b"GP\x00\x01\xe6\x10\x00\x00" and len(blob) == 8 + 9 + 32
+        assert {r[0] for r in db.execute("SELECT name FROM sqlite_master WHERE type = 'index' AND sql IS NOT NULL")} == {"roads_road_feature_id", "season_road_feature_id"}
+    back = spark.createDataFrame([(bytearray(blob[8:]),)], "geometry binary").select(from_wkb("geometry")).first()[0]
+    assert [tuple(v) for v in back] == [(19.5, 50.0), (20.0, 50.5)]
+
+
 def test_partitions_are_split_by_size_and_replaced_alone(spark, tmp_path):
     rows = spark.range(20000).select((F.col("id") % 2).alias("year"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
