@@ -58,6 +58,8 @@ MOST = 4096
 #: Symbols of a text or of several texts hashed at once; places within them fit PLACE_BITS.
 PIECE, PLACE_BITS = 1 << 20, 22
 SHARD_BYTES, HOT, TABLE_BITS = 400_000, 1536, 24
+#: Tasks that shards are dealt out to, at most; beyond that a task takes several.
+TASKS_MOST = 20_000
 
 _U = np.uint64
 _ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3]
@@ -233,7 +235,8 @@ def indexed_repeats(fetched: DataFrame, window: Window) -> DataFrame:
         hits = [hit.astype(np.uint8).tobytes() for _, hit in judge(table["content"].to_pylist(), table["copies"].to_pylist(), window)]
         return pa.table([*(table[c] for c in CONTENT), pa.array(hits, pa.binary())], names=[*CONTENT, "hits"])
 
-    dealt = fetched.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
+    # a stated number of partitions, so that shards, which are small but slow, aren't merged into few tasks
+    dealt = fetched.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards))).repartition(min(shards, TASKS_MOST), "shard")
     return dealt.groupBy("shard").applyInArrow(run, "anchor long, d1 long, d2 long, hits binary")
 
 
