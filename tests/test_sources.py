@@ -211,6 +211,23 @@ def test_a_broken_off_run_goes_on_after_its_last_batch(spark, tmp_path, monkeypa
     monkeypatch.setattr(run, "read_telemetry", breaks_at_c)
     with pytest.raises(ValueError, match="broken off"):
         run.build_bronze(spark, files, tmp_path / "stage", Params(), 1)
-    rows, counts = run.build_bronze(spark, files, tmp_path / "stage", Params(), 1)
+    rows, counts, key = run.build_bronze(spark, files, tmp_path / "stage", Params(), 1)
     assert read == [["a.csv"], ["b.csv"], ["c.csv"], ["c.csv"]]
     assert rows.count() == 16 and counts["raw_rows"] == 18 and {r["source_file"].rsplit("/")[-1] for r in rows.filter("GPS_SPEED = 5").collect()} == {"a.csv"}
+    # all batches have ended: they can be published without the files, but not under other parameters
+    again, same, key_again = run.build_bronze(spark, [], tmp_path / "stage", Params(), 1)
+    assert again.count() == 16 and same == counts and key_again == key == layers.inputs_key(Params().fingerprint(), files)
+    with pytest.raises(FileNotFoundError):
+        run.build_bronze(spark, [], tmp_path / "stage", Params(max_gap=31), 1)
+
+
+def test_stale_layers_and_stray_files_are_noticed(tmp_path):
+    (tmp_path / "silver").mkdir()
+    (tmp_path / "silver" / "f").write_text("1")
+    assert not layers.is_stale(tmp_path / "silver", "a")
+    layers.finish_layer(tmp_path / "silver", "silver", "a", ["f"])
+    assert layers.is_stale(tmp_path / "silver", "b") and not layers.is_stale(tmp_path / "silver", "a")
+    for n in ("._f", ".DS_Store", "_SUCCESS"):
+        (tmp_path / "silver" / n).write_text("")
+    assert layers.drop_strays(tmp_path) == 2 and (tmp_path / "silver" / "_SUCCESS").exists() and layers.layer_is_done(tmp_path / "silver", "silver", "a")
+    assert layers.is_sidecar("x/.f.crc") and layers.is_sidecar("_complete.json") and not layers.is_sidecar("flat.parquet")

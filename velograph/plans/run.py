@@ -12,6 +12,7 @@ import platform
 import shutil
 import subprocess
 import sys
+import warnings
 from importlib.metadata import PackageNotFoundError, version
 from pathlib import Path
 
@@ -31,26 +32,32 @@ STAGES = ("bronze", "silver", "gold")
 BATCH_BYTES = 4 << 30
 
 
-def build_bronze(spark: SparkSession, files: list[Path], stage: Path, p: Params, batch_bytes: int) -> tuple[DataFrame, dict]:
-    """Deduplicated points and attrition counts. Files are read in batches that are checkpoints: a run that was broken off goes on after
-    the last one that ended under the same parameters and files. Batches are deduplicated again against each other."""
+def build_bronze(spark: SparkSession, files: list[Path], stage: Path, p: Params, batch_bytes: int) -> tuple[DataFrame, dict, str]:
+    """Deduplicated points, attrition counts and the layer's key. Files are read in batches that are checkpoints: a run that was broken
+    off goes on after the last one that ended under the same parameters and files. When all have ended, they can be published
+    without the files. Batches are deduplicated again against each other."""
     root = stage / "batches"
     root.mkdir(parents=True, exist_ok=True)
-    parts, counts = [], {}
+    key, batches = layers.inputs_key(p.fingerprint(), files), []
+    if not files:
+        if (ended := layers.ended_batches(root, p.fingerprint())) is None:
+            raise FileNotFoundError("no CSV files, and no finished batches of them")
+        key, batches = ended
     for names in in_batches([(str(f), f.stat().st_size) for f in files], batch_bytes):
-        key = layers.inputs_key(p.fingerprint(), map(Path, names))
-        done = layers.checkpoints(root)
-        if key not in done:
-            folder = root / key[:32]
+        batches.append(layers.inputs_key(p.fingerprint(), map(Path, names)))
+        if batches[-1] not in layers.checkpoints(root):
+            folder = root / batches[-1][:32]
             shutil.rmtree(folder, ignore_errors=True)
             rows, seen = bronze(read_telemetry(spark, names), p)
             rows.write.mode("overwrite").parquet(str(folder / "points"))
-            layers.finish_layer(folder, "bronze-batch", key, ["points"], {k: int(v) for k, v in seen.get.items()})
-            done = layers.checkpoints(root)
-        folder, marker = done[key]
-        parts.append(spark.read.parquet(str(folder / "points")))
+            layers.finish_layer(folder, "bronze-batch", batches[-1], ["points"], {k: int(v) for k, v in seen.get.items()})
+    layers.finish_batches(root, key, p.fingerprint(), batches)
+    done = [layers.checkpoints(root)[b] for b in batches]
+    parts = [spark.read.parquet(str(folder / "points")) for folder, _ in done]
+    counts: dict = {}
+    for _, marker in done:
         counts = {k: counts.get(k, 0) + v for k, v in marker["details"].items()}
-    return parts[0] if len(parts) == 1 else dedup_batches(parts, "point_id", "source_file"), counts
+    return parts[0] if len(parts) == 1 else dedup_batches(parts, "point_id", "source_file"), counts, key
 
 
 def revision(folder: Path) -> str | None:
@@ -95,14 +102,15 @@ def build(spark: SparkSession, csv: Path, roads: str, weather: str, out: Path, p
     road_rows = normalise_roads(read_roads(spark, roads), p)
     due = lambda name: name in stages and (force or not layers.layer_is_done(out / name, name, key))
     if due("bronze"):
-        if not files:
-            raise FileNotFoundError(f"no CSV files in {csv}")
         layers.drop_staging(stage / "bronze", stage)
-        rows, counts = build_bronze(spark, files, stage, p, batch_bytes)
+        rows, counts, key = build_bronze(spark, files, stage, p, batch_bytes)
         sinks.write_partitions(rows, str(stage / "bronze" / "points"), "year", "quarter")
         layers.finish_layer(stage / "bronze", "bronze", key, ["points"], counts)
         layers.swap_in(stage / "bronze", out / "bronze", stage)
         layers.drop_staging(stage / "batches", stage)
+    for name in ("bronze", "silver")[: 0 if stages[0] == "bronze" else STAGES.index(stages[0])]:
+        if layers.is_stale(out / name, key):
+            warnings.warn(f"{out / name} was made under other parameters or inputs, and is used as it is", stacklevel=2)
     if due("silver"):
         layers.drop_staging(stage / "silver", stage)
         rows = silver(spark.read.parquet(str(out / "bronze" / "points")), road_rows, read_weather(spark, weather, p.weather_model), p)
@@ -131,6 +139,7 @@ def build(spark: SparkSession, csv: Path, roads: str, weather: str, out: Path, p
         layers.swap_in(stage / "gold", out / "gold", stage)
         layers.drop_staging(stage / "counts", stage)
     write_manifest(out, p, stages, force, settings or {})
+    layers.drop_strays(out)
     return (layers.layer_marker(out / "bronze") or {"details": {}})["details"]
 
 

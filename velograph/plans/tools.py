@@ -89,8 +89,8 @@ def package(gold: Path, output: Path, metadata: dict, readme: str) -> Path:
         raise ValueError(f"{gold} isn't a finished gold layer")
     if output.resolve().is_relative_to(gold.resolve()):
         raise ValueError("the package must not lie in the gold folder")
-    names = sorted(x.name for x in gold.iterdir() if x.suffix in (".parquet", ".csv"))
-    return sinks.build_package({n: gold / n for n in names}, output, metadata, readme)
+    names = sorted(x.name for x in gold.iterdir() if x.suffix in (".parquet", ".csv") and not layers.is_sidecar(x.name))
+    return sinks.build_package({n: gold / n for n in names}, output, metadata, readme, layers.SIDECARS)
 
 
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> int:

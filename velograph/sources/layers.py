@@ -7,6 +7,7 @@ parameters and of the inputs' inventory, so changed inputs never meet stale resu
 from __future__ import annotations
 
 import datetime
+import fnmatch
 import hashlib
 import json
 import os
@@ -92,6 +93,41 @@ def layer_marker(root: Path) -> dict | None:
     return _read(root / MARKER)
 
 
+def is_stale(root: Path, key: str) -> bool:
+    """Whether a layer stands there that was made under another key: other parameters, or other inputs."""
+    found = layer_marker(root)
+    return found is not None and found.get("key") != key
+
+
+# Names of files that systems and Spark leave beside data, and that never belong in what is handed on.
+SIDECARS = ("._*", ".DS_Store", "*.crc", "_SUCCESS", MARKER)
+
+
+def is_sidecar(name: str) -> bool:
+    return any(fnmatch.fnmatchcase(name.rsplit("/", 1)[-1], s) for s in SIDECARS)
+
+
+def drop_strays(root: Path) -> int:
+    """Delete what file browsers have left below root; Spark's own markers stay. How many files."""
+    strays = [p for pattern in SIDECARS[:2] for p in root.rglob(pattern) if p.is_file()]
+    for p in strays:
+        p.unlink()
+    return len(strays)
+
+
+def finish_batches(root: Path, key: str, fingerprint: str, batches: list[str]) -> None:
+    """Note that all batches of a run have ended, so that they can be published without their inputs."""
+    write_json(root / "_all.json", {"key": key, "fingerprint": fingerprint, "batches": batches})
+
+
+def ended_batches(root: Path, fingerprint: str) -> tuple[str, list[str]] | None:
+    """The run's key and its batches, if all of them ended under these parameters and still are as they were."""
+    found = _read(root / "_all.json")
+    if found is None or found.get("fingerprint") != fingerprint or not set(found["batches"]) <= set(checkpoints(root)):
+        return None
+    return found["key"], found["batches"]
+
+
 def checkpoints(root: Path) -> dict[str, tuple[Path, dict]]:
     """Finished batches below root by batch key. Unfinished ones are left out; two of one key are an error."""
     out: dict[str, tuple[Path, dict]] = {}
