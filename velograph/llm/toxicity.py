@@ -31,6 +31,8 @@ from pyspark.sql import types as T
 from velograph.llm.shared import bit_table, settle, whole_text
 
 SAMPLE_ROWS, FEATURES, GRAMS = 12_000, 400, (5, 6)
+#: Names that a task counts before it passes the counts on.
+NAMES = 200_000
 #: Bits of the table of names that are common among toxic rows, as a power of two.
 TABLE_BITS = 22
 #: Letters of the character model, after the word boundary at 0; other letters share the last place.
@@ -240,31 +242,32 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text") -> Model:
     sample = settle(sample.repartition(4 * spark.sparkContext.defaultParallelism), "toxic-sample")
     model = spark.sparkContext.broadcast(counts)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, seen = Reader(Decoder(model.value)), (Counter(), Counter())
+    def counted(batches: Iterator[pa.RecordBatch], label: bool, features: Listed | None, n: str) -> Iterator[pa.RecordBatch]:
+        """In how many rows of a label each name stands, in parts of some NAMES names, so that a task's memory is bounded."""
+        reader, seen = Reader(Decoder(model.value), features, NAMES // 10), Counter()
+
+        def out() -> pa.RecordBatch:
+            part = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["name", n])
+            seen.clear()
+            return part
+
         for batch in batches:
             for toxic, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                seen[toxic > 0].update(reader.read(value))
-        names = list(seen[1])
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([seen[1][x] for x in names], pa.int64())], names=["name", "n1"])
+                if (toxic > 0) == label:
+                    seen.update(reader.read(value))
+                    if len(seen) > NAMES:
+                        yield out()
+        yield out()
 
     totals = {r["toxic"]: r["count"] for r in sample.groupBy((F.col("toxic") > 0).cast("int").alias("toxic")).count().collect()}
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
     if not n1 or not n0:
         return Model(counts, {}, np.zeros(0), -math.inf)
-    common = settle(sample.mapInArrow(count, "name string, n1 long").groupBy("name").agg(F.sum("n1").alias("n1")).filter(F.col("n1") >= max(3, n1 // 400)), "toxic-names")
+    common = settle(sample.mapInArrow(lambda b: counted(b, True, None, "n1"), "name string, n1 long").groupBy("name").agg(F.sum("n1").alias("n1")).filter(F.col("n1") >= max(3, n1 // 400)), "toxic-names")
     # counts of the other rows need one more pass; a table of fixed size tells which names may be common, the join tells which are
     listed = spark.sparkContext.broadcast(np.unpackbits(np.frombuffer(bit_table(common, F.crc32(F.encode("name", "UTF-8")), TABLE_BITS), np.uint8), bitorder="little").tobytes())
 
-    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, total = Reader(Decoder(model.value), Listed(listed.value)), Counter()
-        for batch in batches:
-            for toxic, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if toxic <= 0:
-                    total.update(reader.read(value))
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["name", "n0"])
-
-    rest = sample.mapInArrow(others, "name string, n0 long").groupBy(F.col("name").alias("__name")).agg(F.sum("n0").alias("n0"))
+    rest = sample.mapInArrow(lambda b: counted(b, False, Listed(listed.value), "n0"), "name string, n0 long").groupBy(F.col("name").alias("__name")).agg(F.sum("n0").alias("n0"))
     both = common.join(rest, F.col("name") == F.col("__name"), "left").select("name", F.col("n1").cast("double").alias("a"), F.coalesce("n0", F.lit(0)).cast("double").alias("b"))
     # the features that most exceed what they would be without a bond to the label
     a, b, share = F.col("a"), F.col("b"), n1 / (n1 + n0)
