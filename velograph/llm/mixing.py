@@ -29,7 +29,7 @@ from velograph.llm.shared import settle, whole_text
 #: Bits of the exponent, and how many of them one pass over the source table settles.
 BITS, BITS_A_PASS = 30, 5
 #: Rows of the largest source that share a bucket of a permutation's hash, or fewer; a bucket is a number of its hexadecimal digits.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS, LEAST_DIGITS = 50_000, 2
 OWN = ("tokens", "epoch", "block", "place")
 
 
@@ -45,7 +45,7 @@ def source_table(docs: DataFrame) -> DataFrame:
 
 def bucket_digits(rows: int) -> int:
     """Hexadecimal digits that deal rows out to buckets of BUCKET_ROWS."""
-    return max(1, math.ceil(math.log(max(rows, 1) / BUCKET_ROWS, 16)))
+    return max(LEAST_DIGITS, math.ceil(math.log(max(rows, 1) / BUCKET_ROWS, 16)))
 
 
 def _grid(sources: DataFrame, total: int, budget: float, places: list[int]) -> dict[int, tuple[float, float]]:
