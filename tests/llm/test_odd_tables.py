@@ -53,8 +53,7 @@ def neighbours(df):
 
 
 def judged(df):
-    measured = quality.measure(df)
-    return quality.cascade(measured, quality.plan_cascade(measured))
+    return quality.cascade(quality.measure(df), quality.plan_cascade(df))
 
 
 OPERATORS = {

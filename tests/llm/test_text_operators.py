@@ -66,7 +66,7 @@ def test_quality_figures_and_verdict(spark):
     r = random.Random(1)
     texts = ["", None, " ", "w\n" * 50, "a b c d e f g h i\n\na b c d e f g h i", "# $ % word", "é" * 9000, " ".join(r.choice("ab") for _ in range(400)), " ".join("clean words of prose number".split() * 2 + [f"n{i}" for i in range(60)])]
     measured = quality.measure(docs(spark, texts))
-    order = quality.plan_cascade(measured)
+    order = quality.plan_cascade(docs(spark, texts))
     rows = {x["doc_id"]: x for x in quality.cascade(measured, order).collect()}
     for i, t in enumerate(texts):
         words = re.findall(r"[^\x20\x09-\x0D]+", t or "")
@@ -95,7 +95,7 @@ def test_costly_rules_that_reject_nothing_come_last(spark):
     texts = [" ".join(r.choice(["alpha", "beta", "gamma"]) + str(r.randrange(999)) for _ in range(400)) for _ in range(40)]
     costly = quality.Rule("costly", "length(regexp_replace(lower({text}), '([a-z])([a-z]*)([0-9]+)', '$3$2$1')) < 0")
     cheap = quality.Rule("cheap", "n_words > 100")
-    plan = quality.plan_cascade(quality.measure(docs(spark, texts)), (costly, cheap))
+    plan = quality.plan_cascade(docs(spark, texts), (costly, cheap))
     by = {x["rule"].name: x for x in plan}
     assert [x["rule"].name for x in plan] == ["cheap", "costly"] and by["costly"]["cost"] > by["cheap"]["cost"] and by["cheap"]["rejection"] == 1.0
 
@@ -105,8 +105,7 @@ def test_quality_order_never_changes_the_verdict(spark):
     plans = [[{"rule": r, "cost": 1.0, "rejection": 0.0} for r in rules] for rules in (quality.RULES, quality.RULES[::-1])]
     a, b = ({r["doc_id"]: r["kept"] for r in quality.cascade(measured, p).collect()} for p in plans)
     assert a == b
-    empty = quality.measure(docs(spark, []))
-    assert quality.cascade(empty, quality.plan_cascade(empty)).count() == 0
+    assert quality.cascade(quality.measure(docs(spark, [])), quality.plan_cascade(docs(spark, []))).count() == 0
     with pytest.raises(ValueError):
         quality.measure(docs(spark, []).withColumn("n_words", F.lit(1)))
 

@@ -12,8 +12,7 @@ OUT = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_
 
 def op4_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    measured = measure(docs)
-    return cascade(measured, plan_cascade(measured)).select(*OUT)
+    return cascade(measure(docs), plan_cascade(docs)).select(*OUT)
 
 
 SQL = r"""

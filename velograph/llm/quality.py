@@ -92,16 +92,16 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     return df.drop(hashes, windows, pairs, starts)
 
 
-def plan_cascade(measured: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[dict]:
+def plan_cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[dict]:
     """The rules in cascade order, with cost (seconds a row) and rejection (share of the sample).
 
-    The sample is drawn at random and bounded by sample_rows whole rows. It is written out, so that a rule's run over it, COPIES
-    times in one task, holds little else than the rule; what a run without a rule takes is subtracted. Ties fall to the given
-    order.
+    The sample is drawn at random and bounded by sample_rows whole rows, which are measured alone. It is written out, so that a
+    rule's run over it, COPIES times in one task, holds little else than the rule; what a run without a rule takes is subtracted.
+    Ties fall to the given order.
     """
-    n = measured.count()
-    part = measured if n <= sample_rows else measured.sample(fraction=min(1.0, 4 * sample_rows / n), seed=17)
-    held = settle(part.limit(sample_rows), "quality-sample").coalesce(1)
+    n = docs.count()
+    part = docs if n <= sample_rows else docs.sample(fraction=min(1.0, 4 * sample_rows / n), seed=17)
+    held = settle(measure(settle(part.limit(sample_rows), "quality-texts"), text), "quality-sample").coalesce(1)
     rows = held.count()
     if not rows:
         return [{"rule": r, "cost": 0.0, "rejection": 0.0} for r in rules]
