@@ -50,7 +50,19 @@ def plain_dedup(texts, separator, least=1, sentence=8):
                 kept.append(text)
             at += len(line) + len(separator)
         spans = sorted((u[3], u[3] + len(u[4])) for u in gone)
-        out.append((len(gone), ",".join(f"{s}:{e}" for s, e in spans), len(again), sum(len(u[5].split(" ")) for u in again), separator.join(kept)))
+        # a text's smallest units in order, each with the words of the repeated unit that begins there; None breaks a run
+        leaves, runs = [], [0]
+        for line in sorted({u[1] for u in own}):
+            inner = [u for u in own if u[1] == line and u[2]]
+            whole = [u for u in again if u[1] == line and not u[2]]
+            if whole:
+                leaves += [len(whole[0][5].split(" "))] + [0] * (max(1, len(inner)) - 1)
+            else:
+                leaves += [len(u[5].split(" ")) if u in again else None for u in inner] or [None]
+        for n in leaves:
+            runs = [*runs, 0] if n is None else [*runs[:-1], runs[-1] + n]
+        long = [n for n in runs if n >= 20]
+        out.append((len(gone), ",".join(f"{s}:{e}" for s, e in spans), len(again), sum(len(u[5].split(" ")) for u in again), len(long), sum(long), separator.join(kept)))
     return out
 
 
@@ -62,7 +74,7 @@ def test_units_equal_a_plain_loop(spark, separator):
     lines = [r.choice([" ", "  "]).join(r.choice(said) for _ in range(r.randint(1, 4))) + r.choice(["", " "]) for _ in range(40)]
     texts = ["", None, "\n\n\n", "Same words as in here", "same  WORDS\tas in here", "...", "a. . b.", *["\n".join(r.choice(lines) for _ in range(r.randint(1, 12))).replace("\n", r.choice(["\n", "\n\n"])) for _ in range(40)], "x " * 40000, "y. " * 30000]
     df = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], SCHEMA)
-    names = ("n_removed", "spans", "n_repeated", "n_repeat_words", "kept")
+    names = ("n_removed", "spans", "n_repeated", "n_repeat_words", "n_passages", "n_passage_words", "kept")
     rows = {x["doc_id"]: tuple(x[n] for n in names) for x in dedup_units(df, separator).collect()}
     assert [rows[i] for i in range(len(texts))] == plain_dedup(texts, separator)
 
@@ -74,6 +86,7 @@ def test_a_passage_within_longer_lines_is_caught(spark):
     texts = [f"{prose(20)} {passage} {prose(20)}." for _ in range(3)] + [f"{prose(20)}. {prose(20)}." for _ in range(3)]
     rows = {x["doc_id"]: x for x in dedup_units(spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], SCHEMA)).collect()}
     assert [rows[i]["n_removed"] for i in range(6)] == [0, 4, 4, 0, 0, 0] and [rows[i]["n_repeat_words"] for i in range(6)] == [44, 44, 44, 0, 0, 0]
+    assert [(rows[i]["n_passages"], rows[i]["n_passage_words"]) for i in range(6)] == [(1, 44)] * 3 + [(0, 0)] * 3
     assert passage[60:] not in rows[1]["kept"] and rows[0]["kept"] == texts[0] and rows[4]["kept"] == texts[4]
 
 

@@ -33,10 +33,17 @@ s AS (SELECT q.doc_id, q.no, string_agg(CASE WHEN NOT coalesce(r.gone, false) TH
       FROM q LEFT JOIN r ON r.doc_id = q.doc_id AND r.no = q.no AND r.k = q.k GROUP BY 1, 2),
 x AS (SELECT g.doc_id, g.no, CASE WHEN NOT gone THEN coalesce(rest, '') END AS kept, CASE WHEN gone THEN 1 ELSE cut END AS n_removed,
       CASE WHEN gone THEN pos || ':' || (pos + length(line)) ELSE spans END AS spans, CASE WHEN again THEN 1 ELSE n_again END AS n_repeated, CASE WHEN again THEN words ELSE words_again END AS n_repeat_words
-      FROM g JOIN s ON s.doc_id = g.doc_id AND s.no = g.no)
-SELECT doc_id, sum(n_removed)::BIGINT AS n_removed, coalesce(string_agg(spans, ',' ORDER BY no), '') AS spans, sum(n_repeated)::BIGINT AS n_repeated, sum(n_repeat_words)::BIGINT AS n_repeat_words,
+      FROM g JOIN s ON s.doc_id = g.doc_id AND s.no = g.no),
+lv AS (SELECT doc_id, no, leaves, {_AHEAD.format("leaves", "doc_id", "no")} AS leaf, line_again FROM (SELECT doc_id, no, greatest(1, count(CASE WHEN k > 0 THEN 1 END)) AS leaves, bool_or(k = 0 AND again) AS line_again FROM r GROUP BY 1, 2)),
+o AS (SELECT r.doc_id, leaf + row_number() OVER (PARTITION BY r.doc_id, r.no ORDER BY k) - CASE WHEN k = 0 THEN 1 ELSE 2 END AS leaf, CASE WHEN k = 0 THEN leaves ELSE 1 END AS leaves, words, again AND (k = 0 OR NOT line_again) AS outer_again
+      FROM r JOIN lv ON lv.doc_id = r.doc_id AND lv.no = r.no),
+f AS (SELECT *, CASE WHEN lag(leaf + leaves) OVER (PARTITION BY doc_id ORDER BY leaf) = leaf THEN 0 ELSE 1 END AS fresh FROM o WHERE outer_again),
+rn AS (SELECT doc_id, run, sum(words) AS words FROM (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY leaf) AS run FROM f) GROUP BY 1, 2),
+pw AS (SELECT doc_id, count(*) AS n_passages, sum(words) AS n_passage_words FROM rn WHERE words >= 20 GROUP BY 1)
+SELECT x.doc_id, sum(n_removed)::BIGINT AS n_removed, coalesce(string_agg(spans, ',' ORDER BY no), '') AS spans, sum(n_repeated)::BIGINT AS n_repeated, sum(n_repeat_words)::BIGINT AS n_repeat_words,
+       coalesce(max(n_passages), 0)::BIGINT AS n_passages, coalesce(max(n_passage_words), 0)::BIGINT AS n_passage_words,
        length(coalesce(string_agg(kept, chr(10) ORDER BY no), ''))::BIGINT AS kept_chars, sha256(coalesce(string_agg(kept, chr(10) ORDER BY no), '')) AS kept_sha256
-FROM x GROUP BY doc_id
+FROM x LEFT JOIN pw ON pw.doc_id = x.doc_id GROUP BY x.doc_id
 """
 
 QUERIES = {"op6_line_hashing": op6_line_hashing}
