@@ -52,7 +52,9 @@ MARK = re.compile(r"[0-9@$!|+]+")
 SPACED = re.compile(r"(?<![^\W_])([^\W_]|[@$!|+])\1*(?:[\s.\-_*]+([^\W_]|[@$!|+])\2*){2,}(?![^\W_])")
 GAP = re.compile(r"[\s.\-_*]+")
 DOTTED = re.compile(r"(?:[^\W\d_][.\-_*]){2,}[^\W\d_](?![^\W\d_])")
-TWICE = re.compile(r"(.)\1")
+TWICE = re.compile(r"(.)\1+")
+#: Letters at the beginning of a feature that a word is searched for first.
+START = 4
 
 
 def places() -> np.ndarray:
@@ -158,6 +160,11 @@ def marked(lower: str) -> set[str]:
     return found
 
 
+def single(word: str) -> str:
+    """The word with every run of a letter as one."""
+    return TWICE.sub(r"\1", word) if TWICE.search(word) else word
+
+
 class Listed:
     """Names whose bit is set, each standing for itself."""
 
@@ -176,6 +183,12 @@ class Reader:
 
     def __init__(self, decoder: Decoder, features: dict[str, int] | Listed | None = None, limit: int = 200_000):
         self.decoder, self.features, self.limit = decoder, features, limit
+        # the beginnings of features, with runs of a letter as one: a reading of a plain word only shortens its runs
+        known = features if isinstance(features, dict) else {}
+        self.wholes = {single(f.strip()) for f in known if f[0] == " "}
+        self.starts = {single(f)[:START] for f in known if f[0] != " "}
+        self.short = [x for x in self.starts if len(x) < START]
+        self.picky = bool(known)
         self.words: dict[str, tuple] = {}
         self.tokens: dict[str, tuple] = {}
 
@@ -185,7 +198,14 @@ class Reader:
             out += [word[i : i + n] for i in range(len(word) - n + 1)]
         return out
 
+    def may_hold(self, word: str) -> bool:
+        """Whether any reading of a plain word can hold a feature; saves the reading of most words."""
+        plain = single(word)
+        return plain in self.wholes or any(plain[i : i + START] in self.starts for i in range(len(plain) - START + 1)) or any(x in plain for x in self.short)
+
     def of_word(self, word: str) -> tuple:
+        if self.picky and not self.may_hold(word):
+            return ()
         readings = [word]
         if TWICE.search(word):
             readings += WORD.findall(self.decoder.restore(word))
