@@ -186,17 +186,22 @@ def name_segments(docs: DataFrame, window: Window = BYTES, text: str = "text") -
     return settle(own_rows(docs, text).mapInArrow(run, SEGMENTS), "segments")
 
 
-def matching_rows(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
-    """doc_id, key, text of documents whose key may be among wanted's: texts that aren't needed stay out of the shuffle."""
-    held = docs.sparkSession.sparkContext.broadcast(bit_table(wanted, F.col("key"), TABLE_BITS))
+def likely_rows(df: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """df without rows whose number in column can't be among wanted's, by a bit table of fixed size."""
+    held, place = df.sparkSession.sparkContext.broadcast(bit_table(wanted, F.col(column), TABLE_BITS)), df.columns.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(held.value, np.int64)
         for b in batches:
-            at = np.asarray(b.column(1)) & ((1 << TABLE_BITS) - 1)
+            at = np.asarray(b.column(place)) & ((1 << TABLE_BITS) - 1)
             yield b.filter(pa.array((bits[at >> 6] >> (at & 63)) & 1 == 1))
 
-    return own_rows(docs, text).mapInArrow(run, "doc_id long, key long, text string")
+    return df.mapInArrow(run, df.schema)
+
+
+def matching_rows(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
+    """doc_id, key, text of documents whose key may be among wanted's: texts that aren't needed stay out of the shuffle."""
+    return likely_rows(own_rows(docs, text), "key", wanted)
 
 
 def fetch(docs: DataFrame, wanted: DataFrame, window: Window, text: str) -> DataFrame:
@@ -313,7 +318,7 @@ def removals(docs: DataFrame, window: Window = BYTES, text: str = "text") -> Dat
     several = (F.col("a") != F.col("b")) | (F.col("c") != F.col("d")) | (F.col("m") == 1)
     # written out, so that both sides of the join are plain exchanges, which AQE can split at a hot anchor
     anchors = settle(anchors.select("anchor", several.alias("several")), "anchors")
-    met = settle(named.join(anchors, "anchor"), "segments-met")
+    met = settle(likely_rows(named, "anchor", anchors).join(anchors, "anchor"), "segments-met")
     span = lambda start, end: F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"))
     whole = met.filter("not several").select(*ROW, F.array(span(F.col("at"), F.col("at") + F.col("n") + (window.length - 1))).alias("found"))
     found = whole
