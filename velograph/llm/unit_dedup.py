@@ -36,6 +36,8 @@ MIN_WORDS, SENTENCE_WORDS, PASSAGE_WORDS = 1, 8, 20
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
 SENTENCE_END = re.compile(r"[.!?][\x20\x09-\x0D]+")
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+#: Units that a task holds before it passes them on.
+UNITS_HELD = 20_000
 #: A unit's place is its line, and its sentence from 1 (0: the line itself) in the lower bits.
 SENTENCE_BITS = 32
 #: leaf and leaves: the first of the sentences (or lines without such) that a unit holds, counted through the text, and how many.
@@ -78,6 +80,13 @@ def unit_digests(text: str, separator: str, min_words: int, sentence_words: int)
 def name_units(docs: DataFrame, separator: str, min_words: int, sentence_words: int, text: str = "text") -> DataFrame:
     """UNITS of every document. Written out."""
 
+    def part(b: pa.RecordBatch, rows: list[int], found: list[tuple]) -> pa.RecordBatch:
+        at = pa.array(rows, pa.int32())
+        places, leaf, leaves, words, names = zip(*found, strict=True) if found else ((),) * 5
+        both = pa.array([int.from_bytes(n[k : k + 8], "little", signed=True) for k in (0, 8) for n in names], pa.int64())
+        columns = [b.column(0).take(at), b.column(1).take(at), pa.array(places, pa.int64()), *(pa.array(c, pa.int32()) for c in (leaf, leaves, words)), both[: len(names)], both[len(names) :]]
+        return pa.RecordBatch.from_arrays(columns, names=[u.split()[0] for u in UNITS.split(", ")])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows, found = [], []
@@ -85,11 +94,10 @@ def name_units(docs: DataFrame, separator: str, min_words: int, sentence_words:
                 for unit in unit_digests(value.as_py(), separator, min_words, sentence_words):
                     rows.append(i)
                     found.append(unit)
-            at = pa.array(rows, pa.int32())
-            places, leaf, leaves, words, names = zip(*found, strict=True) if found else ((),) * 5
-            both = pa.array([int.from_bytes(n[k : k + 8], "little", signed=True) for k in (0, 8) for n in names], pa.int64())
-            columns = [b.column(0).take(at), b.column(1).take(at), pa.array(places, pa.int64()), *(pa.array(c, pa.int32()) for c in (leaf, leaves, words)), both[: len(names)], both[len(names) :]]
-            yield pa.RecordBatch.from_arrays(columns, names=[u.split()[0] for u in UNITS.split(", ")])
+                    if len(found) >= UNITS_HELD:
+                        yield part(b, rows, found)
+                        rows, found = [], []
+            yield part(b, rows, found)
 
     return settle(own_rows(docs, text).mapInArrow(run, UNITS), "units")
 
@@ -130,10 +138,13 @@ def repeated_units(docs: DataFrame, separator: str = "\n", min_words: int = MIN_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            units = b.column(2).to_pylist()
-            places = pa.array([sorted(u["place"] for u in outermost([u for u in own if u["gone"]])) for own in units], pa.list_(pa.int64()))
-            counts = zip(*map(counts_of, units), strict=True) if units else ((),) * len(COUNTS)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), places, *(pa.array(c, pa.int64()) for c in counts)], names=[*ROW, "places", *COUNTS])
+            places, counts = [], []
+            for value in b.column(2):  # a document at a time, as units take much more room as objects
+                own = value.as_py()
+                places.append(pa.scalar(sorted(u["place"] for u in outermost([u for u in own if u["gone"]])), pa.list_(pa.int64())))
+                counts.append(counts_of(own))
+            columns = zip(*counts, strict=True) if counts else ((),) * len(COUNTS)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(places, pa.list_(pa.int64())), *(pa.array(c, pa.int64()) for c in columns)], names=[*ROW, "places", *COUNTS])
 
     return settle(found.mapInArrow(run, f"doc_id long, key long, places array<long>, {', '.join(f'{c} long' for c in COUNTS)}"), "units-repeated")
 
