@@ -369,7 +369,7 @@ def places(spark, sf_dir):
 
 
 def pairs(spark, sf_dir, radius=40.0):
-    return matching.grid_join(places(spark, sf_dir), segments(spark, sf_dir), radius, digits=6)
+    return matching.grid_join(places(spark, sf_dir), segments(spark, sf_dir), radius, 25.0, digits=6)
 
 
 @add("candidate_join_grid", f"WITH {_near_sql(40)} SELECT point_id, match_segment_id, dist_to_axis FROM prs WHERE dist_to_axis <= 40")
@@ -389,10 +389,8 @@ def unmatched_buckets(spark, sf_dir):
 
 
 def ranked(spark, sf_dir):
-    """Candidates without headings, so that the score is the distance alone."""
-    none = F.lit(None).cast("double")
-    scored = matching.score(pairs(spark, sf_dir).withColumn("traj_azimuth", none).withColumn("road_azimuth", none), P)
-    return matching.best_segments(scored)
+    """Best roads without headings, so that the score is the distance alone."""
+    return matching.best_roads(places(spark, sf_dir), segments(spark, sf_dir), P, digits=6)
 
 
 _BEST = f"WITH {_near_sql(40)}, s AS (SELECT *, row_number() OVER (PARTITION BY point_id, road_feature_id ORDER BY dist_to_axis, match_segment_id) AS r FROM prs WHERE dist_to_axis <= 40), f AS (SELECT point_id, road_feature_id, match_segment_id, dist_to_axis FROM s WHERE r = 1)"
@@ -412,49 +410,48 @@ FROM f WINDOW w AS (PARTITION BY point_id ORDER BY dist_to_axis <= 15 DESC, scor
 
 
 def headed(spark, sf_dir):
-    """Candidates with the heading of the point's last move and the segment's own."""
+    """Points with the heading of their last move, and segments with their own."""
     moving = derived(spark, sf_dir).select("point_id", "x", "y", "traj_azimuth")
-    roads = segments(spark, sf_dir).withColumn("road_azimuth", g.azimuth(*map(F.col, ("x1", "y1", "x2", "y2"))))
-    return matching.score(matching.grid_join(moving, roads, 40.0, digits=6), P)
+    return moving, segments(spark, sf_dir).withColumn("road_azimuth", g.azimuth(*map(F.col, ("x1", "y1", "x2", "y2"))))
 
 
 @add("best_segment_heading", _HEADED + " SELECT point_id, road_feature_id, match_segment_id, round(score, 9) AS match_score, round(al, 9) AS heading_alignment_diff FROM f")
 def best_segment_heading(spark, sf_dir):
-    df = matching.best_segments(headed(spark, sf_dir))
+    df = matching.best_segments(*headed(spark, sf_dir), P, 6, ("point_id", "road_feature_id", "match_segment_id", "match_score", "heading_alignment_diff"))
     return df.select("point_id", "road_feature_id", "match_segment_id", F.round("match_score", 9).alias("match_score"), F.round("heading_alignment_diff", 9).alias("heading_alignment_diff"))
 
 
 @add("best_road_heading", _HEADED + """ SELECT point_id, road_feature_id, match_segment_id, dist_to_axis <= 15 AS within_primary_match_radius, CASE WHEN (CASE WHEN dist_to_axis <= 15 THEN c1 ELSE c3 END) > 1 THEN round(ns - score, 9) END AS score_margin,
 CASE WHEN azimuth_diff IS NULL THEN 'UNKNOWN_STATIONARY_OR_SHORT_MOVE' WHEN azimuth_diff > pi() / 2 THEN 'BACKWARD' ELSE 'FORWARD' END AS travel_direction FROM h WHERE r2 = 1""")
 def best_road_heading(spark, sf_dir):
-    best = matching.best_roads(matching.best_segments(headed(spark, sf_dir)), P)
+    best = matching.best_roads(*headed(spark, sf_dir), P, digits=6)
     way = matching.travel_direction(F.col("azimuth_diff"), F.lit(False))
     return best.select("point_id", "road_feature_id", "match_segment_id", "within_primary_match_radius", F.round("score_margin", 9).alias("score_margin"), way.alias("travel_direction"))
 
 
 @add("best_segment", _BEST + " SELECT point_id, road_feature_id, match_segment_id, dist_to_axis FROM f")
 def best_segment(spark, sf_dir):
-    return ranked(spark, sf_dir).select("point_id", "road_feature_id", "match_segment_id", "dist_to_axis")
+    return matching.best_segments(places(spark, sf_dir), segments(spark, sf_dir), P, 6, ("point_id", "road_feature_id", "match_segment_id", "dist_to_axis"))
 
 
 @add("best_road", _ROAD + " SELECT point_id, road_feature_id, dist_to_axis, dist_to_axis <= 15 AS within_primary_match_radius FROM b")
 def best_road(spark, sf_dir):
-    return matching.best_roads(ranked(spark, sf_dir), P).select("point_id", "road_feature_id", "dist_to_axis", "within_primary_match_radius")
+    return ranked(spark, sf_dir).select("point_id", "road_feature_id", "dist_to_axis", "within_primary_match_radius")
 
 
 @add("candidate_counts", _ROAD + " SELECT point_id, c1 AS candidate_count_radius_1, c2 AS candidate_count_radius_2, c3 AS candidate_count_radius_3, CASE WHEN dist_to_axis <= 15 THEN c1 ELSE c3 END AS candidate_count FROM b")
 def candidate_counts(spark, sf_dir):
-    return matching.best_roads(ranked(spark, sf_dir), P).select("point_id", *[f"candidate_count_radius_{i}" for i in (1, 2, 3)], "candidate_count")
+    return ranked(spark, sf_dir).select("point_id", *[f"candidate_count_radius_{i}" for i in (1, 2, 3)], "candidate_count")
 
 
 @add("runner_up_margin", _ROAD + " SELECT point_id, CASE WHEN (CASE WHEN dist_to_axis <= 15 THEN c1 ELSE c3 END) > 1 THEN round(nd - dist_to_axis, 6) END AS dist_margin_m FROM b")
 def runner_up_margin(spark, sf_dir):
-    return matching.best_roads(ranked(spark, sf_dir), P).select("point_id", F.round("dist_margin_m", 6).alias("dist_margin_m"))
+    return ranked(spark, sf_dir).select("point_id", F.round("dist_margin_m", 6).alias("dist_margin_m"))
 
 
 @add("radius_tier", _ROAD + " SELECT CASE WHEN dist_to_axis <= 15 THEN 'LE_15_M' WHEN dist_to_axis <= 25 THEN 'GT_15_LE_25_M' ELSE 'GT_25_LE_40_M' END AS match_radius_tier, count(*) AS n FROM b GROUP BY 1")
 def radius_tier(spark, sf_dir):
-    return matching.best_roads(ranked(spark, sf_dir), P).groupBy("match_radius_tier").agg(F.count(F.lit(1)).alias("n"))
+    return ranked(spark, sf_dir).groupBy("match_radius_tier").agg(F.count(F.lit(1)).alias("n"))
 
 
 @add("distance_bucket", "SELECT CASE WHEN d <= 15 THEN 'LE_15_M' WHEN d <= 25 THEN 'GT_15_LE_25_M' WHEN d <= 40 THEN 'GT_25_LE_40_M' WHEN d <= 75 THEN 'GT_40_LE_75_M' WHEN d <= 150 THEN 'GT_75_LE_150_M' ELSE 'GT_150_M_OR_NO_CANDIDATE' END AS bucket, count(*) AS n FROM (SELECT CASE WHEN event_id % 9 <> 0 THEN event_id % 200 END AS d FROM events) GROUP BY 1")
@@ -467,7 +464,7 @@ def distance_bucket(spark, sf_dir):
 round(quantile_cont(d, 0.95), 6) AS distance_p95, round(avg((d <= 15)::INT), 6) AS primary_share, round(avg((c > 1)::INT), 6) AS ambiguous_share, 0::DOUBLE AS violations_total FROM m)
 SELECT metric, value FROM (UNPIVOT v ON COLUMNS(*) INTO NAME metric VALUE value)""")
 def match_metrics(spark, sf_dir):
-    best = matching.best_roads(ranked(spark, sf_dir), P).withColumns({"calc_speed_kmh": F.lit(1.0), "weather_join_status": F.lit("MATCHED"), "is_high_speed_iqr_outlier": F.lit(False)})
+    best = ranked(spark, sf_dir).withColumns({"calc_speed_kmh": F.lit(1.0), "weather_join_status": F.lit("MATCHED"), "is_high_speed_iqr_outlier": F.lit(False)})
     names = ("sample_rows", "distance_mean", "distance_p50", "distance_p90", "distance_p95", "primary_share", "ambiguous_share", "violations_total")
     return reports.match_metrics(best, P).filter(F.col("metric").isin(*names)).withColumn("value", F.round("value", 6))
 
