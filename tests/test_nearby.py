@@ -28,15 +28,15 @@ def dense(tmp_path_factory):
     return at, con
 
 
-def joined_rows(spark) -> int:
-    """Rows that joins of the last query put out."""
+def rows_of(spark, kind="Join", metric="number of output rows") -> int:
+    """Rows that operators of a kind put out in the last query."""
     store = spark._jsparkSession.sharedState().statusStore()
     last = store.executionsList().last().executionId()
     nodes, values = store.planGraph(last).allNodes(), store.executionMetrics(last)
     total = 0
     for node in (nodes.apply(i) for i in range(nodes.size())):
-        for m in (node.metrics().apply(i) for i in range(node.metrics().size())) if "Join" in node.name() else ():
-            if m.name() == "number of output rows" and values.contains(m.accumulatorId()):
+        for m in (node.metrics().apply(i) for i in range(node.metrics().size())) if kind in node.name() else ():
+            if m.name() == metric and values.contains(m.accumulatorId()):
                 total += int(values.apply(m.accumulatorId()).replace(",", ""))
     return total
 
@@ -46,7 +46,7 @@ def holds(spark, dense, name) -> int:
     df, want = registry.queries()[name](spark, at), con.sql(registry.oracle_sql()[name])
     order = sorted(df.columns)
     rows = df.collect()
-    joined = joined_rows(spark)
+    joined = rows_of(spark)
     plain = lambda rows, columns: sorted(tuple(str(r[columns.index(c)]) for c in order) for r in rows)
     assert plain(rows, df.columns) == plain(want.fetchall(), list(want.columns))
     return joined
@@ -99,3 +99,13 @@ def test_best_segments_and_roads_equal_brute_force(spark, headed):
         assert [g[f"candidate_count_radius_{i}"] for i in (1, 2, 3)] == [sum(k[1] <= m for _, k in ranks) for m in (15, 25, 40)]
         assert g["candidate_count_sensitivity_max_radius"] == sum(rank[4] for rank, _ in ranks)
         assert g["dist_margin_m"] == (ranks[1][1][1] - first[1] if g["candidate_count"] > 1 else None)
+
+
+def test_nearest_distance_passes_on_no_pairs(spark, dense):
+    assert holds(spark, dense, "nearest_distance") < 10_000
+
+
+def test_points_without_a_place_stay(spark):
+    points = spark.createDataFrame([(1, 0.0, 3.0), (2, None, 1.0), (3, float("nan"), 1.0), (4, float("inf"), 1.0), (5, 1e6, 1e6)], "point_id long, x double, y double")
+    lines = spark.createDataFrame([(0.0, 0.0, 9.0, 0.0), (0.0, 0.0, None, 0.0)], "x1 double, y1 double, x2 double, y2 double")
+    assert {g[0]: g["nearest_road_distance_m"] for g in matching.nearest(points, lines, 150.0).collect()} == {1: 3.0, 2: None, 3: None, 4: None, 5: None}
