@@ -109,3 +109,7 @@ def test_points_without_a_place_stay(spark):
     points = spark.createDataFrame([(1, 0.0, 3.0), (2, None, 1.0), (3, float("nan"), 1.0), (4, float("inf"), 1.0), (5, 1e6, 1e6)], "point_id long, x double, y double")
     lines = spark.createDataFrame([(0.0, 0.0, 9.0, 0.0), (0.0, 0.0, None, 0.0)], "x1 double, y1 double, x2 double, y2 double")
     assert {g[0]: g["nearest_road_distance_m"] for g in matching.nearest(points, lines, 150.0).collect()} == {1: 3.0, 2: None, 3: None, 4: None, 5: None}
+
+
+def test_unmatched_buckets_pass_on_no_pairs(spark, dense):
+    assert holds(spark, dense, "unmatched_buckets") < 10_000
