@@ -113,3 +113,7 @@ def test_points_without_a_place_stay(spark):
 
 def test_unmatched_buckets_pass_on_no_pairs(spark, dense):
     assert holds(spark, dense, "unmatched_buckets") < 10_000
+
+
+def test_candidate_counts_pass_on_no_pairs(spark, dense):
+    assert holds(spark, dense, "candidate_counts") < 10_000
