@@ -117,3 +117,7 @@ def test_unmatched_buckets_pass_on_no_pairs(spark, dense):
 
 def test_candidate_counts_pass_on_no_pairs(spark, dense):
     assert holds(spark, dense, "candidate_counts") < 10_000
+
+
+def test_match_metrics_pass_on_no_pairs(spark, dense):
+    assert holds(spark, dense, "match_metrics") < 10_000
