@@ -121,3 +121,7 @@ def test_candidate_counts_pass_on_no_pairs(spark, dense):
 
 def test_match_metrics_pass_on_no_pairs(spark, dense):
     assert holds(spark, dense, "match_metrics") < 10_000
+
+
+def test_radius_tier_passes_on_no_pairs(spark, dense):
+    assert holds(spark, dense, "radius_tier") < 10_000
