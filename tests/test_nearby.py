@@ -125,3 +125,7 @@ def test_match_metrics_pass_on_no_pairs(spark, dense):
 
 def test_radius_tier_passes_on_no_pairs(spark, dense):
     assert holds(spark, dense, "radius_tier") < 10_000
+
+
+def test_runner_up_margin_passes_on_no_pairs(spark, dense):
+    assert holds(spark, dense, "runner_up_margin") < 10_000
