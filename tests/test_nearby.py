@@ -129,3 +129,7 @@ def test_radius_tier_passes_on_no_pairs(spark, dense):
 
 def test_runner_up_margin_passes_on_no_pairs(spark, dense):
     assert holds(spark, dense, "runner_up_margin") < 10_000
+
+
+def test_best_road_heading_passes_on_no_pairs(spark, dense):
+    assert holds(spark, dense, "best_road_heading") < 10_000
