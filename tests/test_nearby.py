@@ -133,3 +133,7 @@ def test_runner_up_margin_passes_on_no_pairs(spark, dense):
 
 def test_best_road_heading_passes_on_no_pairs(spark, dense):
     assert holds(spark, dense, "best_road_heading") < 10_000
+
+
+def test_best_segment_passes_on_no_pairs(spark, dense):
+    assert holds(spark, dense, "best_segment") < 10_000
