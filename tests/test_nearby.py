@@ -137,3 +137,7 @@ def test_best_road_heading_passes_on_no_pairs(spark, dense):
 
 def test_best_segment_passes_on_no_pairs(spark, dense):
     assert holds(spark, dense, "best_segment") < 10_000
+
+
+def test_best_segment_heading_passes_on_no_pairs(spark, dense):
+    assert holds(spark, dense, "best_segment_heading") < 10_000
