@@ -141,3 +141,13 @@ def test_best_segment_passes_on_no_pairs(spark, dense):
 
 def test_best_segment_heading_passes_on_no_pairs(spark, dense):
     assert holds(spark, dense, "best_segment_heading") < 10_000
+
+
+def test_a_long_segment_is_listed_along_itself(spark):
+    """160,000 cells of its box, some 3,000 in reach."""
+    r = random.Random(3)
+    points = spark.createDataFrame([(i, r.uniform(0, 1e4), r.uniform(0, 1e4)) for i in range(2000)] + [(-1, 5000.0, 5039.0)], "point_id long, x double, y double")
+    line = spark.createDataFrame([("s", 0.0, 0.0, 1e4, 1e4)], "match_segment_id string, x1 double, y1 double, x2 double, y2 double")
+    got = {g["point_id"] for g in matching.grid_join(points, line, 40.0, 25.0).collect()}
+    assert rows_of(spark, "BroadcastExchange") + rows_of(spark, "Exchange", "shuffle records written") < 20_000
+    assert got == {p["point_id"] for p in points.collect() if abs(p["x"] - p["y"]) <= 40 * math.sqrt(2)} and -1 in got
