@@ -4,11 +4,13 @@ import math
 import random
 
 import duckdb
+import pyarrow as pa
 import pytest
 
-from velograph.operators import matching
+from velograph.operators import matching, nearby
 from velograph.params import Params
 from velograph.plans import registry
+from velograph.plans.standins import POINTS_SQL, SEGMENTS_SQL
 
 P = Params()
 PLACES = 2999 * 3001  # ids below that stand for all places
@@ -139,6 +141,18 @@ def test_best_segment_passes_on_no_pairs(spark, dense):
     assert holds(spark, dense, "best_segment") < 10_000
 
 
+def test_best_segments_come_some_points_at_a_time(dense):
+    """90,000 pairs, which a task never holds at once, whichever part of a tile they lie in."""
+    con = dense[1]
+    left = con.sql(f"WITH {POINTS_SQL} SELECT point_id, x, y FROM pts").to_arrow_table()
+    right = con.sql(f"WITH {SEGMENTS_SQL} SELECT * FROM seg").to_arrow_table()
+    names = ["point_id", "road_feature_id", "match_segment_id", "dist_to_axis"]
+    found = [pa.table(x).select(names) for x in nearby.Candidates(left, right, 40.0, 15.0, 0.35, 6).segments(names)]
+    assert len(found) > 5 and max(len(set(t["point_id"].to_pylist())) for t in found) <= nearby.LEAF
+    want = con.sql(registry.oracle_sql()["best_segment"]).to_arrow_table().select(names)
+    assert sorted(map(str, pa.concat_tables(found).to_pylist())) == sorted(map(str, want.to_pylist()))
+
+
 def test_best_segment_heading_passes_on_no_pairs(spark, dense):
     assert holds(spark, dense, "best_segment_heading") < 10_000
 

@@ -8,7 +8,7 @@ one matrix of distances. All bounds are exact: no point and no segment in reach
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +33,8 @@ def in_place():
     return F.coalesce((F.abs("x") < float("inf")) & (F.abs("y") < float("inf")), F.lit(False))
 
 
-def by_tile(points: DataFrame, segments: DataFrame, radius: float, cell: float, run: Callable[[pa.Table, pa.Table], dict], schema: T.StructType) -> DataFrame:
-    """run(points of a tile, segments in reach of it) for all tiles with points; the columns that it returns, as schema says.
+def by_tile(points: DataFrame, segments: DataFrame, radius: float, cell: float, run: Callable[[pa.Table, pa.Table], Iterable[dict]], schema: T.StructType) -> DataFrame:
+    """run(points of a tile, segments in reach of it) for all tiles with points; the columns of some rows at a time, as schema says.
 
     A segment is listed in the tiles of its box grown by the radius. A crowded tile is dealt out in parts by point_id, each
     with the tile's segments. Work isn't in proportion to bytes, so groups go to the session's number of partitions as it is.
@@ -50,11 +50,13 @@ def by_tile(points: DataFrame, segments: DataFrame, radius: float, cell: float,
     keys, n = [*tile, "__part"], int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     fields = to_arrow_schema(schema)
 
+    whole = lambda c: c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c, from_pandas=True)
+
     def group(left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left):
             return fields.empty_table()
-        found = run(left, right)
-        return pa.table([(c if isinstance(c := found[f.name], pa.ChunkedArray) else pa.array(c, from_pandas=True)).cast(f.type) for f in fields], schema=fields)
+        # chunks stay apart, so that Spark reads one at a time
+        return pa.concat_tables([fields.empty_table(), *[pa.table([whole(found[f.name]).cast(f.type) for f in fields], schema=fields) for found in run(left, right)]])
 
     sides = [df.repartition(n, *keys).groupBy(*keys) for df in (placed, listed)]
     return sides[0].cogroup(sides[1]).applyInArrow(group, schema)
@@ -130,7 +132,8 @@ class Candidates:
     """
 
     def __init__(self, left: pa.Table, right: pa.Table, radius: float, primary: float, weight: float, digits: int | None) -> None:
-        self.left, self.right = left, right.take(pc.sort_indices(right, [("road_feature_id", "ascending"), ("match_segment_id", "ascending")], null_placement="at_start"))
+        order = pc.sort_indices(right, [("road_feature_id", "ascending"), ("match_segment_id", "ascending")], null_placement="at_start")
+        self.left, self.right = left.combine_chunks(), right.take(order).combine_chunks()
         self.radius, self.primary, self.weight, self.digits = radius, primary, weight, digits
         self.headed = "traj_azimuth" in left.column_names and "road_azimuth" in right.column_names
         self.road = self._codes(self.right["road_feature_id"])
@@ -192,11 +195,10 @@ class Candidates:
         sides = [(t, pa.array(at), [c for c in t.column_names if (names is None or c in names) and c not in besides]) for t, at, besides in ((self.left, rows, ()), (self.right, cols, self.left.column_names))]
         return {c: t[c].take(at) for t, at, chosen in sides for c in chosen} | more
 
-    def segments(self, names: list[str]) -> dict:
-        """The columns of names of all best segments."""
-        found = [np.concatenate(c) for c in zip(*[x[1:] for x in self.by_leaf()], strict=True)] or [*[np.empty(0, int)] * 2, *[np.empty(0)] * 4]
-        rows, cols, d, turn, alignment, s = found
-        return self._columns(rows, cols, names, dist_to_axis=d, azimuth_diff=turn, heading_alignment_diff=alignment, match_score=s)
+    def segments(self, names: list[str]) -> Iterator[dict]:
+        """The columns of names of all best segments, of some points at a time."""
+        for _, rows, cols, d, turn, alignment, s in self.by_leaf():
+            yield self._columns(rows, cols, names, dist_to_axis=d, azimuth_diff=turn, heading_alignment_diff=alignment, match_score=s)
 
     def roads(self, within: dict[str, float]) -> dict:
         """Of each point the best road, counts of roads by distance, and score and distance of the runner-up (NaN if there is none)."""
