@@ -107,6 +107,19 @@ def test_nearest_distance_passes_on_no_pairs(spark, dense):
     assert holds(spark, dense, "nearest_distance") < 10_000
 
 
+def test_nearest_distance_broadcasts_no_segments(spark, dense):
+    """The planner takes listed segments for as small as the file that they come from."""
+    holds(spark, dense, "nearest_distance")
+    assert rows_of(spark, "BroadcastExchange") == 0
+
+
+@pytest.mark.parametrize("name", ["nearest_distance", "best_road_heading"])
+def test_crowded_tiles_are_dealt_out_in_parts(spark, dense, name, monkeypatch):
+    monkeypatch.setattr(nearby, "PART", 50)
+    holds(spark, dense, name)
+    assert 0 < rows_of(spark, "BroadcastExchange") < 10
+
+
 def test_points_without_a_place_stay(spark):
     points = spark.createDataFrame([(1, 0.0, 3.0), (2, None, 1.0), (3, float("nan"), 1.0), (4, float("inf"), 1.0), (5, 1e6, 1e6)], "point_id long, x double, y double")
     lines = spark.createDataFrame([(0.0, 0.0, 9.0, 0.0), (0.0, 0.0, None, 0.0)], "x1 double, y1 double, x2 double, y2 double")

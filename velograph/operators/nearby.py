@@ -37,16 +37,19 @@ def by_tile(points: DataFrame, segments: DataFrame, radius: float, cell: float,
     """run(points of a tile, segments in reach of it) for all tiles with points; the columns of some rows at a time, as schema says.
 
     A segment is listed in the tiles of its box grown by the radius. A crowded tile is dealt out in parts by point_id, each
-    with the tile's segments. Work isn't in proportion to bytes, so groups go to the session's number of partitions as it is.
+    with the tile's segments. Only crowded tiles are broadcast, at most one for PART points; listed segments never are, as the
+    planner takes them for as small as the file that they come from. Work isn't in proportion to bytes, so groups go to the
+    session's number of partitions as it is.
     """
     tile = ["__cx", "__cy"]
     at = lambda v: F.floor(v / cell).cast("long")
     every = lambda a, b: F.explode(F.sequence(at(F.least(a, b) - radius), at(F.greatest(a, b) + radius)))
     placed = points.filter(in_place()).withColumns({"__cx": at(F.col("x")), "__cy": at(F.col("y"))})
-    parts = placed.groupBy(*tile).agg(F.ceil(F.count(F.lit(1)) / PART).alias("__parts"))
+    crowded = placed.groupBy(*tile).agg(F.ceil(F.count(F.lit(1)) / PART).alias("__parts")).filter("__parts > 1")
+    n_parts = F.coalesce("__parts", F.lit(1).cast("long"))
     listed = segments.withColumn("__cx", every(F.col("x1"), F.col("x2"))).withColumn("__cy", every(F.col("y1"), F.col("y2")))
-    listed = listed.join(parts, tile).withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__parts") - 1))).drop("__parts")
-    placed = placed.join(parts, tile).withColumn("__part", F.pmod(F.xxhash64("point_id"), F.col("__parts"))).drop("__parts")
+    listed = listed.join(F.broadcast(crowded), tile, "left").withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), n_parts - 1))).drop("__parts")
+    placed = placed.join(F.broadcast(crowded), tile, "left").withColumn("__part", F.pmod(F.xxhash64("point_id"), n_parts)).drop("__parts")
     keys, n = [*tile, "__part"], int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     fields = to_arrow_schema(schema)
 
