@@ -130,6 +130,11 @@ def test_unmatched_buckets_pass_on_no_pairs(spark, dense):
     assert holds(spark, dense, "unmatched_buckets") < 10_000
 
 
+def test_unmatched_buckets_broadcast_no_segments(spark, dense):
+    holds(spark, dense, "unmatched_buckets")
+    assert rows_of(spark, "BroadcastExchange") == 0
+
+
 def test_candidate_counts_pass_on_no_pairs(spark, dense):
     assert holds(spark, dense, "candidate_counts") < 10_000
 
