@@ -175,6 +175,12 @@ def test_best_segment_heading_passes_on_no_pairs(spark, dense):
     assert holds(spark, dense, "best_segment_heading") < 10_000
 
 
+def test_best_segment_heading_rounds_without_decimals(spark, dense):
+    """round() of a double goes by way of a decimal, for every pair twice."""
+    df = registry.queries()["best_segment_heading"](spark, dense[0])
+    assert "round(" not in df._jdf.queryExecution().toString()
+
+
 def test_a_long_segment_is_listed_along_itself(spark):
     """160,000 cells of its box, some 3,000 in reach."""
     r = random.Random(3)
