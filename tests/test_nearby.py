@@ -181,6 +181,11 @@ def test_best_segment_heading_rounds_without_decimals(spark, dense):
     assert "round(" not in df._jdf.queryExecution().toString()
 
 
+def test_candidate_join_grid_broadcasts_no_segments(spark, dense):
+    holds(spark, dense, "candidate_join_grid")
+    assert rows_of(spark, "BroadcastExchange") == 0
+
+
 def test_a_long_segment_is_listed_along_itself(spark):
     """160,000 cells of its box, some 3,000 in reach."""
     r = random.Random(3)
