@@ -155,6 +155,11 @@ def test_best_road_heading_passes_on_no_pairs(spark, dense):
     assert holds(spark, dense, "best_road_heading") < 10_000
 
 
+def test_best_road_heading_broadcasts_no_segments(spark, dense):
+    holds(spark, dense, "best_road_heading")
+    assert rows_of(spark, "BroadcastExchange") == 0
+
+
 def test_best_segment_passes_on_no_pairs(spark, dense):
     assert holds(spark, dense, "best_segment") < 10_000
 
