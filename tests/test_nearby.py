@@ -135,6 +135,20 @@ def test_unmatched_buckets_broadcast_no_segments(spark, dense):
     assert rows_of(spark, "BroadcastExchange") == 0
 
 
+def crowd(spark, x):
+    """20,000 points in one place of 100 m by 100 m, and 1,000 segments along a meridian."""
+    points = spark.range(20_000).selectExpr("id AS point_id", "CAST(id % 100 AS DOUBLE) AS x", "CAST(id DIV 100 % 100 AS DOUBLE) AS y", "0D AS traj_azimuth")
+    y = "CAST(id AS DOUBLE) / 10"
+    return points, spark.range(1_000).selectExpr("id AS match_segment_id", "id % 5 AS road_feature_id", f"{x} AS x1", f"{y} AS y1", f"{x} AS x2", f"{y} + 1 AS y2", "0D AS road_azimuth")
+
+
+def test_unmatched_points_list_segments_seldom(spark):
+    """Some 11,000 times with tiles as wide as the radius and parts of 8,192 points."""
+    got = {g[0]: g[1] for g in matching.unmatched_summary(*crowd(spark, "200D"), P, keys=()).collect()}
+    assert rows_of(spark, "Exchange", "shuffle records written") < 20_000 + 6_000
+    assert got == {"GT_75_LE_150_M": 10_000, "GT_150_M_OR_NO_CANDIDATE": 10_000}
+
+
 def test_candidate_counts_pass_on_no_pairs(spark, dense):
     assert holds(spark, dense, "candidate_counts") < 10_000
 

@@ -21,7 +21,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from velograph.functions.geometry import HALF_PI, TWO_PI
 
 #: Points of a group, points of a matrix, elements of a matrix, metres by which bounds are widened for rounding.
-PART, LEAF, BLOCK, SLACK = 8192, 32, 1 << 18, 1e-5
+PART, LEAF, BLOCK, SLACK = 65536, 32, 1 << 18, 1e-5
 LINE = ("x1", "y1", "x2", "y2")
 
 
@@ -33,19 +33,20 @@ def in_place():
     return F.coalesce((F.abs("x") < float("inf")) & (F.abs("y") < float("inf")), F.lit(False))
 
 
-def by_tile(points: DataFrame, segments: DataFrame, radius: float, cell: float, run: Callable[[pa.Table, pa.Table], Iterable[dict]], schema: T.StructType) -> DataFrame:
+def by_tile(points: DataFrame, segments: DataFrame, radius: float, cell: float, run: Callable[[pa.Table, pa.Table], Iterable[dict]], schema: T.StructType, share: int = 1) -> DataFrame:
     """run(points of a tile, segments in reach of it) for all tiles with points; the columns of some rows at a time, as schema says.
 
     A segment is listed in the tiles of its box grown by the radius. A crowded tile is dealt out in parts by point_id, each
-    with the tile's segments. Only crowded tiles are broadcast, at most one for PART points; listed segments never are, as the
-    planner takes them for as small as the file that they come from. Work isn't in proportion to bytes, so groups go to the
-    session's number of partitions as it is.
+    with the tile's segments, so wide tiles and large parts list segments least often. share: a group has PART / share points,
+    for a run() whose results hold many rows a point. Only crowded tiles are broadcast, at most one for PART / share points;
+    listed segments never are, as the planner takes them for as small as the file that they come from. Work isn't in
+    proportion to bytes, so groups go to the session's number of partitions as it is.
     """
     tile = ["__cx", "__cy"]
     at = lambda v: F.floor(v / cell).cast("long")
     every = lambda a, b: F.explode(F.sequence(at(F.least(a, b) - radius), at(F.greatest(a, b) + radius)))
     placed = points.filter(in_place()).withColumns({"__cx": at(F.col("x")), "__cy": at(F.col("y"))})
-    crowded = placed.groupBy(*tile).agg(F.ceil(F.count(F.lit(1)) / PART).alias("__parts")).filter("__parts > 1")
+    crowded = placed.groupBy(*tile).agg(F.ceil(F.count(F.lit(1)) * share / PART).alias("__parts")).filter("__parts > 1")
     n_parts = F.coalesce("__parts", F.lit(1).cast("long"))
     listed = segments.withColumn("__cx", every(F.col("x1"), F.col("x2"))).withColumn("__cy", every(F.col("y1"), F.col("y2")))
     listed = listed.join(F.broadcast(crowded), tile, "left").withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), n_parts - 1))).drop("__parts")
