@@ -212,6 +212,37 @@ def test_candidate_join_grid_broadcasts_no_segments(spark, dense):
     assert rows_of(spark, "BroadcastExchange") == 0
 
 
+def test_candidate_join_grid_lists_segments_seldom(spark, dense):
+    """No pair is shuffled, joined or sorted; an equi-join on cells of 25 m shuffled 9,316 rows."""
+    assert holds(spark, dense, "candidate_join_grid") < 10_000
+    assert 600 <= rows_of(spark, "Exchange", "shuffle records written") < 3_000
+
+
+def test_pairs_of_crowded_tiles_are_dealt_out_in_parts(spark, dense, monkeypatch):
+    monkeypatch.setattr(nearby, "PART", 400)
+    holds(spark, dense, "candidate_join_grid")
+    assert 0 < rows_of(spark, "BroadcastExchange") < 10
+
+
+def test_pairs_come_some_points_at_a_time(dense):
+    """90,000 pairs, which a task never holds at once."""
+    con = dense[1]
+    left = con.sql(f"WITH {POINTS_SQL} SELECT point_id, x, y FROM pts").to_arrow_table()
+    right = con.sql(f"WITH {SEGMENTS_SQL} SELECT match_segment_id, x1, y1, x2, y2 FROM seg").to_arrow_table()
+    found = [len(t["dist_to_axis"]) for t in nearby.pairs_of(left, right, 40.0, 6)]
+    assert len(found) > 1 and max(found) < nearby.PART + nearby.BLOCK and sum(found) == con.sql(registry.oracle_sql()["candidate_join_grid"]).count("*").fetchall()[0][0]
+
+
+def test_pairs_keep_odd_columns_and_places(spark):
+    """Points and segments without a place meet nothing; text ids, nulls and other columns stay; copies are rows of their own."""
+    points = spark.createDataFrame([("a", 0.0, 3.0, [1]), ("a", 0.0, 3.0, None), (None, 1.0, 40.0, [2]), ("n", None, 1.0, None), ("n", float("nan"), 1.0, None), ("n", float("inf"), 1.0, None), ("far", 1e6, 1e6, None)], "point_id string, x double, y double, more array<int>")
+    lines = spark.createDataFrame([(7, 0.0, 0.0, 9.0, 0.0, None), (None, 0.0, 0.0, 0.0, 0.0, "t"), (8, 0.0, 0.0, None, 0.0, "t"), (9, 0.0, 0.0, float("nan"), 0.0, "t")], "match_segment_id long, x1 double, y1 double, x2 double, y2 double, tag string")
+    got = matching.grid_join(points, lines, 40.0, digits=6)
+    assert got.columns == [*points.columns, *lines.columns, "dist_to_axis"]
+    rows = sorted(str((g["point_id"], g["more"], g["match_segment_id"], g["tag"], g["dist_to_axis"])) for g in got.collect())
+    assert rows == sorted(map(str, [("a", [1], 7, None, 3.0), ("a", [1], None, "t", 3.0), ("a", None, 7, None, 3.0), ("a", None, None, "t", 3.0), (None, [2], 7, None, 40.0)]))
+
+
 def test_a_long_segment_is_listed_along_itself(spark):
     """160,000 cells of its box, some 3,000 in reach."""
     r = random.Random(3)
